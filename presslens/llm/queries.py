@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import line_dedup, mixing
+from presslens.llm import line_dedup, mixing, packing, warc
 from presslens.shared import table
 
 
@@ -15,6 +16,17 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, normalised, and read back through the sidecar index."""
+    archives = warc.normalise(warc.write_archives(warc.revisits(table(spark, sf_dir, "pages"))))
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces with their places in packed sequences."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines of later repeated windows removed."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_in", "lines_removed")
@@ -22,6 +34,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_warc": op2_warc,
+    "op3_packing": op3_packing,
     "op7_line_dedup": op7_line_dedup,
 }
 
