@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import line_dedup, mixing, packing, warc
-from presslens.shared import table
+from presslens.llm import line_dedup, mixing, mpeg, packing, warc
+from presslens.shared import materialise, table
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +32,22 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "lines_in", "lines_removed")
 
 
+def op9_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as MPEG audio in a table, read back from it, with the stream's features."""
+    stored = materialise(mpeg.write_mpeg(table(spark, sf_dir, "documents").select("doc_id", "text")), "mpeg", compression="zstd")
+    features = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("-"))) for c in ("frames", "samples", "rate", "min_kbps", "max_kbps", "junk_bytes", "crc_good", "crc_bad", "vbr", "vbr_frames", "vbr_bytes")]
+    seek = F.concat(F.lit("seek="), F.sha1(F.array_join("offsets", ",")))
+    return mpeg.read_mpeg(stored).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.concat_ws(";", *features, seek).alias("feature"), "frames", (F.col("samples") / F.col("rate")).alias("seconds"), "crc_bad"
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op9_mpeg": op9_mpeg,
 }
 
 ORACLE_SQL = {
