@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import line_dedup, mixing, mpeg, packing, warc
+from presslens.llm import line_dedup, mixing, mpeg, packing, toxicity, warc
 from presslens.shared import materialise, table
 
 
@@ -42,7 +42,15 @@ def op9_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score from its nearest labelled examples."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
