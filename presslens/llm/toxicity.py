@@ -2,8 +2,8 @@
 
 Training labels are those of rows whose crc32(id) mod 4 is not 2. A model is
 fitted on at most ``max_examples`` of them (those of smallest hash, a documented
-bound; all where there are fewer): features that go with the label by a
-chi-square test become the vocabulary (at most ``max_features``), the examples
+bound; all where there are fewer): features that go with toxic examples by a
+chi-square test and their share become the vocabulary (at most ``max_features``), the examples
 become TF-IDF vectors over it, equal vectors are merged with their counts, and
 the index keeps for each feature and block of examples the largest weight.
 Document frequencies behind the IDF are counted over all documents. A query
@@ -41,10 +41,12 @@ from presslens.shared import materialise
 MAX_EXAMPLES = 30_000
 MAX_FEATURES = 50_000
 K = 15
-CHI_SQUARE = 15.0
-LEAST_DF = 3
+CHI_SQUARE = 20.0
+LEAST_DF = 5
+#: A feature's share of toxic examples, as a multiple of the share among all, from which it is vocabulary.
+LIFT = 3.0
 THRESHOLD = 0.3
-BLOCK = 64
+BLOCK = 128
 PREFIX = 5
 #: Texts and their tokens that a worker remembers; the memory starts again beyond it.
 CACHE = 500_000
@@ -115,7 +117,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def select_features(examples: DataFrame, n_clean: int, n_toxic: int, max_features: int = MAX_FEATURES) -> list[str]:
-    """Features that go with the label, strongest first."""
+    """Features that go with toxic examples, strongest first."""
     a, b, c, d = (F.col("toxic").cast("double"), F.col("clean").cast("double"), n_toxic - F.col("toxic"), n_clean - F.col("clean"))
     n = float(n_clean + n_toxic)
     chi = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * F.lit(float(n_toxic)) * F.lit(float(n_clean)))
@@ -126,7 +128,7 @@ def select_features(examples: DataFrame, n_clean: int, n_toxic: int, max_feature
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter((F.col("clean") + F.col("toxic") >= LEAST_DF) & (F.col("clean") + F.col("toxic") < n))
         .withColumn("chi", chi)
-        .filter(F.col("chi") >= CHI_SQUARE)
+        .filter((F.col("chi") >= CHI_SQUARE) & (a / (a + b) >= min(LIFT * n_toxic / n, 0.5)))
         .orderBy(F.desc("chi"), "feature")
         .limit(max_features)
         .collect()
