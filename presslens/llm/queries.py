@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import line_dedup, mixing, mpeg, packing, toxicity, warc
+from presslens.llm import jaccard, line_dedup, mixing, mpeg, packing, toxicity, warc
 from presslens.shared import materialise, table
 
 
@@ -49,7 +49,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of at least 0.85."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES = {
+    "op4_jaccard": op4_jaccard,
     "op10_toxicity": op10_toxicity,
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
