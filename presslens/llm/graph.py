@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presslens.shared import materialise
 
 
+def spanning_forest(pairs: Iterable[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """The pairs of 0 .. n - 1 that first join two components: within one task, for a bounded block."""
+    parent = list(range(n))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        if x != y:
+            parent[x] = y
+            kept.append((a, b))
+    return kept
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours go to the smallest node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))

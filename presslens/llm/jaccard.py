@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.graph import components
+from presslens.llm.graph import components, spanning_forest
 from presslens.shared import materialise
 
 WORDS = 5
@@ -216,24 +216,6 @@ def _incidence(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _forest(pairs: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for a, b in pairs:
-        x, y = find(a), find(b)
-        if x != y:
-            parent[x] = y
-            kept.append((a, b))
-    return kept
-
-
 def verified_links(prefixes: list[np.ndarray], matches: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among some sets; candidates share enough prefix shingles, then sets are counted exactly."""
     sizes = np.array([len(s) for s in sets])
@@ -247,7 +229,7 @@ def verified_links(prefixes: list[np.ndarray], matches: np.ndarray, sets: list[n
     full = _incidence([sets[i] for i in some])
     shared = (full @ full.T)[at[: len(a)], at[len(a) :]].astype(np.int64)
     linked = 100 * shared >= percent * (sizes[a] + sizes[b] - shared)
-    return _forest(list(zip(a[linked].tolist(), b[linked].tolist(), strict=True)), len(sets))
+    return spanning_forest(zip(a[linked].tolist(), b[linked].tolist(), strict=True), len(sets))
 
 
 def links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

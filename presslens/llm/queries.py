@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import jaccard, line_dedup, mixing, mpeg, packing, toxicity, warc
+from presslens.llm import jaccard, line_dedup, mixing, mpeg, packing, toxicity, vectors, warc
 from presslens.shared import materialise, table
 
 
@@ -54,7 +54,13 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of embeddings of one label with a cosine of at least 0.93."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op5_vectors": op5_vectors,
     "op4_jaccard": op4_jaccard,
     "op10_toxicity": op10_toxicity,
     "op1_mixing": op1_mixing,
