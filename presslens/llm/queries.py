@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import jaccard, line_dedup, mixing, mpeg, packing, toxicity, vectors, warc
+from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, toxicity, vectors, warc
 from presslens.shared import materialise, table
 
 
@@ -59,7 +59,15 @@ def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by class bigrams, learnt from nine tenths of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classlm.fit(docs.filter(~classlm.held_out(F.col("doc_id"))))
+    return classlm.score(docs, model).withColumn("held_out", classlm.held_out(F.col("doc_id")))
+
+
 QUERIES = {
+    "op8_class_lm": op8_class_lm,
     "op5_vectors": op5_vectors,
     "op4_jaccard": op4_jaccard,
     "op10_toxicity": op10_toxicity,
