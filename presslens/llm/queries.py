@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, toxicity, vectors, warc
+from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, pii, toxicity, vectors, warc
 from presslens.shared import materialise, table
 
 
@@ -66,7 +66,16 @@ def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.score(docs, model).withColumn("held_out", classlm.held_out(F.col("doc_id")))
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced; documents with a surrogate that isn't one to one would be marked."""
+    replaced = materialise(pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")), "pii")
+    met = pii.collisions(replaced).select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
+    clash = replaced.select("doc_id", F.explode("entities").alias("e")).join(met, (F.col("e.kind") == F.col("k")) & (F.col("e.surrogate") == F.col("s")), "left_semi").select(F.col("doc_id").alias("c_id")).distinct()
+    return replaced.join(clash, F.col("doc_id") == F.col("c_id"), "left").select("doc_id", "text", "n_entities", "entities", F.col("c_id").isNull().alias("distinct_surrogates"))
+
+
 QUERIES = {
+    "op6_surrogates": op6_surrogates,
     "op8_class_lm": op8_class_lm,
     "op5_vectors": op5_vectors,
     "op4_jaccard": op4_jaccard,
