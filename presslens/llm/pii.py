@@ -63,7 +63,7 @@ TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Señor", "Se
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "name")
 _GIVEN = {name: (group, i) for group, names in GIVEN.items() for i, name in enumerate(names)}
 _WORD = r"\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}[\p{Ll}]+)?"
-MARKS = regex.compile(
+MARKS = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d))"
