@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from presslens.plans import feed
+
+QUERIES: dict = dict(feed.QUERIES)
+ORACLE_SQL: dict = dict(feed.ORACLE_SQL)

@@ -9,8 +9,9 @@ must then share min(k1, k2) prefix shingles before it is verified exactly.
 
 Documents with equal word sequences are one class from the start. Classes that
 share a prefix shingle meet under a hub (the class of the most common prefix
-among them), so a group costs rows in proportion to its members; groups larger
-than ``GROUP`` are compared block by block. A block pair returns a spanning forest of
+among them); classes that hang together over few hubs are compared at once, and
+the members of a hub in a large part block by block (``GROUP`` each), so rows grow
+with members, not with pairs. A block pair returns a spanning forest of
 its verified links, which keeps all components without writing out all pairs.
 
 What happens in special cases:
@@ -48,7 +49,7 @@ VERIFY_COST = 30.0
 MAX_MATCH = 8
 #: Members of a group that are compared in one block.
 GROUP = 256
-#: Ids below this number are sent to every executor (16 bytes each); more are joined by a shuffle.
+#: So many rows of ids are sent to every executor (40 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Words whose hash a worker remembers; the memory starts again beyond it.
 CACHE = 1_000_000
@@ -185,26 +186,6 @@ def signatures(docs: DataFrame, shared, id_col: str, text_col: str, size: int) -
     return docs.select(id_col, text_col).mapInArrow(sign, f"doc_id {kind}, node long, n long, weight int, prefix array<long>")
 
 
-def ordered_sets(docs: DataFrame, shared, text_col: str, size: int) -> DataFrame:
-    """``node, prefix, matches, shingles`` of each text, the shingles in the global order."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, orderer = Shingler(size), Orderer(*shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = []
-                for text in _bytes(batch.column(0).slice(at, 1024)):
-                    words = split(text)
-                    if not words:
-                        continue
-                    ordered, p, k, _ = orderer.order(shingler.hashes(words))
-                    rows.append((np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).astype(np.int64), p, k, ordered.tobytes()))
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[c]) for c in range(4)], names=["node", "prefix", "matches", "shingles"])
-
-    return docs.select(text_col).mapInArrow(sets, "node long, prefix int, matches int, shingles binary")
-
-
 def _incidence(sets: list[np.ndarray]) -> np.ndarray:
     """Rows of 0 and 1 over the shingles that at least two sets hold."""
     tokens, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -232,24 +213,42 @@ def verified_links(prefixes: list[np.ndarray], matches: np.ndarray, sets: list[n
     return spanning_forest(zip(a[linked].tolist(), b[linked].tolist(), strict=True), len(sets))
 
 
-def links(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: verified links among the members of each hub, block pair by block pair."""
-    members = groups.groupBy("hub").agg(F.count(F.lit(1)).alias("m")).withColumn("blocks", F.ceil(F.col("m") / GROUP).cast("int")).select("hub", "blocks")
+def compared(groups: DataFrame) -> DataFrame:
+    """``part, low, high, node``: where each member of ``groups`` (hub, node) is compared.
+
+    Members that hang together over hubs form one part if they are at most
+    ``GROUP``, so each is sent once; other hubs keep their members, dealt into blocks
+    of which all pairs meet.
+    """
+    whole = materialise(components(groups.select(F.col("hub").alias("a"), F.col("node").alias("b"))), "jaccard-parts")
+    size = whole.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
+    sized = materialise(whole.join(size, "component"), "jaccard-parts")
+    small = sized.filter(F.col("m") <= GROUP).select(F.col("component").alias("part"), F.lit(0).alias("low"), F.lit(0).alias("high"), "node")
+    large = groups.join(sized.filter(F.col("m") > GROUP).select("node"), "node", "left_semi")
+    blocks = large.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
     dealt = (
-        groups.join(members, "hub")
+        large.join(blocks, "hub")
         .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("hub", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "node")
+        .select(F.col("hub").alias("part"), (F.least("mine", "other") + 1).alias("low"), (F.greatest("mine", "other") + 1).alias("high"), "node")
     )
+    return small.union(dealt)
+
+
+def links(members: DataFrame, shared, size: int) -> DataFrame:
+    """``a, b``: verified links among the members (part, low, high, node, text) that meet."""
 
     def compare(group: pa.Table) -> pa.Table:
-        nodes = group.column("node").to_numpy()
-        all_sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        prefixes = [s[:p] for s, p in zip(all_sets, group.column("prefix").to_pylist(), strict=True)]
-        found = verified_links(prefixes, group.column("matches").to_numpy(), all_sets, percent)
+        shingler, orderer = Shingler(size), Orderer(*shared.value)
+        seen: dict[int, tuple] = {}
+        for node, text in zip(group.column("node").to_pylist(), _bytes(group.column("text")), strict=True):
+            if node not in seen and (words := split(text)):
+                seen[node] = orderer.order(shingler.hashes(words))
+        nodes, ordered = list(seen), list(seen.values())
+        found = verified_links([o[0][: o[1]] for o in ordered], np.array([o[2] for o in ordered]), [o[0] for o in ordered], orderer.percent)
         return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
 
-    return dealt.join(sets, "node").groupBy("hub", "low", "high").applyInArrow(compare, "a long, b long")
+    return members.groupBy("part", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -268,12 +267,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .distinct()
     )
     groups = materialise(groups, "jaccard-groups")
-    wanted = materialise(groups.select("node").distinct().join(classes, "node").select(F.col("rep").alias("w_id")).distinct(), "jaccard-wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).alias("t_text")).join(wanted, F.col("t_id").eqNullSafe(F.col("w_id")), "left_semi")
-    sets = materialise(ordered_sets(texts, shared, "t_text", words), "jaccard-sets").dropDuplicates(["node"])
-    found = components(links(groups, sets, percent))
+    wanted = materialise(compared(groups).join(classes, "node").withColumnRenamed("rep", "w_id"), "jaccard-wanted")
+    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    members = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).alias("text")).join(near, F.col("t_id").eqNullSafe(F.col("w_id"))).select("part", "low", "high", "node", "text")
+    found = components(links(members, shared, words))
     least = classes.join(found, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
     moved = found.join(least, "component").select("node", "component_id")
     per_class = classes.join(moved, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
