@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +18,11 @@ def count(text: Column, pattern: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def any_of(text: Column, parts: tuple[str, ...]) -> Column:
     """Whether the text holds one of some literals; null counts as empty."""
     quoted = "|".join("".join("\\" + c if c in r".\+*?[]{}()^$|#&-~/" else c for c in p) for p in parts)
@@ -135,16 +143,26 @@ def strip_tail(text: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     for _ in range(3):
         for pattern in W.TAILS:
-            out = F.regexp_replace(F.regexp_replace(out, f"(?isu){pattern}", ""), r"[ .,—\-–;:\n]+$", "")
-    whole = F.regexp_extract(out, r"(?s)^(.*(?:[.!?](?= )|\.(?=\n)|…))", 1)
-    return F.trim(F.when((out != "") & ~out.rlike(r"(?s)[.!?…»\"']$") & (F.length(whole) > 81), whole).otherwise(out))
+            out = F.rtrim(F.regexp_replace(out, f"(?isu){pattern}", ""), F.lit(" .,—-–;:\n"))
+
+    def last_sentence(out: Column) -> Column:
+        whole = F.regexp_extract(out, r"(?s)^(.*(?:[.!?](?= )|\.(?=\n)|…))", 1)
+        return F.trim(F.when((out != "") & ~out.rlike(r"(?s)[.!?…»\"']$") & (F.length(whole) > 81), whole).otherwise(out))
+
+    return bound(out, last_sentence)
+
+
+def _without_early(text: Column, *, part: str) -> Column:
+    """The text without ``part`` where that starts in the first 300 characters."""
+    at = F.instr(text, part)
+    rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + len(part), F.length(text)))
+    return F.when((at > 0) & (at <= 300), F.trim(rest)).otherwise(text)
 
 
 def strip_boilerplate(text: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     for part in W.BOILERPLATE:
-        at = F.instr(out, part)
-        out = F.when((at > 0) & (at <= 300), F.trim(F.concat(F.substring(out, F.lit(1), at - 1), F.substring(out, at + len(part), F.length(out))))).otherwise(out)
+        out = bound(out, partial(_without_early, part=part))
     return strip_tail(out)
 
 

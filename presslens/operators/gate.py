@@ -85,7 +85,8 @@ def gate(items: DataFrame, as_of_ms: int, ad_urls: DataFrame | None = None) -> D
     )
     title = F.trim(F.coalesce("title", F.lit("")))
     body = X.strip_tail(drop_junk_lines(F.col("summary")))
-    body = drop_inner_title(title, drop_leading_title(title, body))
+    body = X.bound(body, lambda b: drop_leading_title(title, b))
+    body = X.bound(body, lambda b: drop_inner_title(title, b))
     fixed = (
         items.withColumn("early", early)
         .withColumn("summary", body)
