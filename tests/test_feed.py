@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from presslens import catalog
 from presslens.functions import text as X
+from presslens.sources import items as S
 from tests.conftest import SF
 
 
@@ -11,7 +12,7 @@ def test_query_equals_its_sql(same, name):
     same(catalog.QUERIES[name], catalog.ORACLE_SQL[name])
 
 
-@pytest.mark.parametrize("name", ["stripped_text", "quality_gate"])
+@pytest.mark.parametrize("name", ["stripped_text", "quality_gate", "page_texts"])
 def test_queries_without_sql_keep_their_rows(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 
@@ -33,3 +34,12 @@ def test_strip_boilerplate_takes_closing_marks_only(spark, text, want):
 @pytest.mark.parametrize(("text", "want"), [(None, "unknown"), ("", "unknown"), ("Привет мир", "ru"), ("hello world", "en"), ("12345", "other")])
 def test_detect_language(spark, text, want):
     assert value(spark, X.detect_language(F.lit(text).cast("string"))) == want
+
+
+def test_page_fields(spark):
+    long = "A paragraph of more than sixty characters that says what happened here today."
+    html = F.lit(f'<title>Head &amp; tail</title><nav><p>{long} nav</p></nav><p>{long}</p><p>short</p><img src="https://x.example/logo.png"><img src="https://x.example/a.jpg">')
+    assert value(spark, S.page_title(html)) == "Head & tail"
+    assert value(spark, S.page_text(html)) == long
+    assert value(spark, S.page_photo(html)) == "https://x.example/a.jpg"
+    assert value(spark, S.page_photo(F.lit(None).cast("string"))) is None
