@@ -71,6 +71,9 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     replaced = materialise(pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")), "pii")
     met = pii.collisions(replaced).select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
     clash = replaced.select("doc_id", F.explode("entities").alias("e")).join(met, (F.col("e.kind") == F.col("k")) & (F.col("e.surrogate") == F.col("s")), "left_semi").select(F.col("doc_id").alias("c_id")).distinct()
+    clash = materialise(clash, "pii-clash")
+    if clash.count() <= jaccard.BROADCAST_IDS:  # texts needn't be shuffled for a few ids
+        clash = F.broadcast(clash)
     return replaced.join(clash, F.col("doc_id") == F.col("c_id"), "left").select("doc_id", "text", "n_entities", "entities", F.col("c_id").isNull().alias("distinct_surrogates"))
 
 
