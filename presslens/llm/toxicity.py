@@ -1,15 +1,17 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
 
 Training labels are those of rows whose crc32(id) mod 4 is not 2. A model is
 fitted on at most ``max_examples`` of them (those of smallest hash, a documented
-bound; all where there are fewer): features that go with toxic examples by a
-chi-square test and their share become the vocabulary (at most ``max_features``), the examples
-become TF-IDF vectors over it, equal vectors are merged with their counts, and
-the index keeps for each feature and block of examples the largest weight.
-Document frequencies behind the IDF are counted over all documents. A query
-visits blocks by falling upper bound and stops when none can reach its
-``k``-th best cosine, so the neighbours are exact. Votes weighted by distance
-are mapped to probabilities by isotonic regression on leave-one-out votes.
+bound; all where there are fewer). All features of the texts, words and starts
+of words, that at least ``LEAST_DF`` examples hold are the vocabulary, whether
+they lean to toxic or to clean examples. The weight of a feature in a text is
+its TF-IDF, with document frequencies counted over all documents, times
+1 + log(1 + chi-square) of the feature and the label among the examples: none
+is dropped, those that tell count more. Equal vectors are merged with their
+counts. A query is compared with every example: features that many examples
+hold by a matrix product, the others by their postings, so the ``k`` neighbours
+are exact. Votes weighted by distance are mapped to probabilities by isotonic
+regression on leave-one-out votes.
 
 What happens in special cases:
 
@@ -25,28 +27,29 @@ What happens in special cases:
 
 from __future__ import annotations
 
-import math
-from collections import Counter, defaultdict
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.shared import materialise
 
 MAX_EXAMPLES = 30_000
-MAX_FEATURES = 50_000
 K = 15
-CHI_SQUARE = 20.0
-LEAST_DF = 5
-#: A feature's share of toxic examples, as a multiple of the share among all, from which it is vocabulary.
-LIFT = 3.0
+LEAST_DF = 2
 THRESHOLD = 0.3
-BLOCK = 128
+#: Queries that are compared together.
+TOGETHER = 128
+#: Features of at least this share of the examples are kept as rows of a matrix.
+DENSE_SHARE = 0.02
 PREFIX = 5
 #: Texts and their tokens that a worker remembers; the memory starts again beyond it.
 CACHE = 500_000
@@ -116,116 +119,152 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64()) for c in seen]], names=["feature", "clean", "toxic"])
 
 
-def select_features(examples: DataFrame, n_clean: int, n_toxic: int, max_features: int = MAX_FEATURES) -> list[str]:
-    """Features that go with toxic examples, strongest first."""
-    a, b, c, d = (F.col("toxic").cast("double"), F.col("clean").cast("double"), n_toxic - F.col("toxic"), n_clean - F.col("clean"))
-    n = float(n_clean + n_toxic)
-    chi = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * F.lit(float(n_toxic)) * F.lit(float(n_clean)))
-    rows = (
+def feature_counts(examples: DataFrame) -> pa.Table:
+    """``feature, clean, toxic``: every feature of at least LEAST_DF examples and how many of them hold it; bounded as the examples are."""
+    return (
         examples.select("text", "toxic")
         .mapInArrow(_document_frequencies, "feature string, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter((F.col("clean") + F.col("toxic") >= LEAST_DF) & (F.col("clean") + F.col("toxic") < n))
-        .withColumn("chi", chi)
-        .filter((F.col("chi") >= CHI_SQUARE) & (a / (a + b) >= min(LIFT * n_toxic / n, 0.5)))
-        .orderBy(F.desc("chi"), "feature")
-        .limit(max_features)
-        .collect()
+        .filter(F.col("clean") + F.col("toxic") >= LEAST_DF)
+        .orderBy("feature")
+        .toArrow()
     )
-    return [r["feature"] for r in rows]
 
 
-def _vectors(examples: DataFrame, vocabulary: dict[str, int]) -> list:
-    """Each example's features and their counts; one row for each of the bounded number of examples."""
+def relevance(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """What features' weights are multiplied by, at least 1: 1 + log(1 + chi-square)."""
+    a, b = toxic.astype(float), clean.astype(float)
+    c, d = n_toxic - a, n_clean - b
+    below = (a + b) * (c + d) * float(n_toxic) * float(n_clean)
+    return 1 + np.log1p(np.where(below > 0, (n_clean + n_toxic) * (a * d - b * c) ** 2 / np.maximum(below, 1.0), 0.0))
+
+
+def _vectors(examples: DataFrame, shared) -> pa.Table:
+    """Each example's features and their counts, packed; one row for each of the bounded number of examples."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _Tokens(vocabulary)
+        tokens = _Tokens(shared.value)
         for batch in batches:
-            counts = [sorted(tokens.count(t).items()) for t in _texts(batch, "text")]
-            arrays = [pa.array([[x[k] for x in c] for c in counts], pa.list_(pa.int64())) for k in (0, 1)]
+            counts = [np.array(sorted(tokens.count(t).items()), "<i4").reshape(-1, 2) for t in _texts(batch, "text")]
+            arrays = [pa.array([x[:, k].tobytes() for x in counts], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("x_id").cast(pa.string()), batch.column("toxic").cast(pa.int64()), *arrays], names=["x_id", "toxic", "ids", "counts"])
 
-    return examples.mapInArrow(vectors, "x_id string, toxic long, ids array<long>, counts array<long>").collect()
+    return examples.select("x_id", "toxic", "text").mapInArrow(vectors, "x_id string, toxic long, ids binary, counts binary").toArrow()
 
 
-def _corpus_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[int, dict[int, int]]:
+def _corpus_frequencies(docs: DataFrame, text_col: str, shared) -> tuple[int, np.ndarray]:
     """The number of documents and, of each feature, of documents that hold it: over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, seen = _Tokens(vocabulary), Counter()
+        tokens, seen, n = _Tokens(shared.value), np.zeros(len(shared.value), np.int64), 0
         for batch in batches:
-            for text in _texts(batch, "text"):
-                seen.update(set(tokens.count(text)))
-                seen[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["id", "n"])
+            for text in _texts(batch, text_col):
+                seen[list(tokens.count(text))] += 1
+                n += 1
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], n))], names=["id", "n"])
+
+    found = docs.select(F.col(text_col).alias(text_col)).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids, n = found["id"].to_numpy(), found["n"].to_numpy()
+    out = np.zeros(len(shared.value), np.int64)
+    out[ids[ids >= 0]] = n[ids >= 0]
+    return int(n[ids < 0].sum()), out
 
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    found = {r["id"]: r["n"] for r in counts}
-    return found.pop(-1, 0), found
+
+def unit(ids: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of a text's features, of length 1."""
+    raw = (1 + np.log(counts)) * weight[ids]
+    return raw / np.sqrt((raw * raw).sum())
 
 
 class BlockMaxIndex:
-    """Postings of normalised vectors; per feature and block of vectors the largest weight."""
+    """Normalised vectors by feature: a matrix row of each feature that many vectors hold, postings of the others."""
 
     def __init__(self, vectors: list[dict[int, float]]):
-        self.n = len(vectors)
-        postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for i, vector in enumerate(vectors):
-            for f, w in vector.items():
-                postings[f].append((i, w))
-        self.n_blocks = -(-self.n // BLOCK)
-        self.blocks: dict[int, np.ndarray] = {}
-        self.most: dict[int, np.ndarray] = {}
-        self.lists: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        for f, rows in postings.items():
-            ids, weights = np.array([i for i, _ in rows]), np.array([w for _, w in rows])
-            blocks, starts = np.unique(ids // BLOCK, return_index=True)
-            self.blocks[f], self.most[f] = blocks, np.maximum.reduceat(weights, starts)
-            ends = [*starts[1:], len(ids)]
-            self.lists[f] = {int(b): (ids[s:e] % BLOCK, weights[s:e]) for b, s, e in zip(blocks, starts, ends, strict=True)}
+        n = [len(v) for v in vectors]
+        flat = (np.fromiter((x for v in vectors for x in v), np.int64, sum(n)), np.fromiter((w for v in vectors for w in v.values()), float, sum(n)))
+        self._build(np.repeat(np.arange(len(n), dtype=np.int32), n), *flat, len(n))
+
+    @classmethod
+    def of(cls, rows: np.ndarray, features: np.ndarray, weights: np.ndarray, n: int) -> BlockMaxIndex:
+        index = cls.__new__(cls)
+        index._build(rows, features, weights, n)
+        return index
+
+    def _build(self, rows: np.ndarray, features: np.ndarray, weights: np.ndarray, n: int) -> None:
+        self.n, self.n_features = n, int(features.max(initial=-1)) + 1
+        df = np.bincount(features, minlength=self.n_features)
+        many = np.flatnonzero(df >= max(TOGETHER, DENSE_SHARE * n))
+        self.row_of = np.full(self.n_features, -1, np.int32)  # of features in the matrix
+        self.row_of[many] = np.arange(len(many))
+        self.matrix = np.zeros((len(many), n), weights.dtype)
+        dense = self.row_of[features] >= 0
+        self.matrix[self.row_of[features[dense]], rows[dense]] = weights[dense]
+        rows, features, weights = rows[~dense], features[~dense], weights[~dense]
+        order = np.argsort(features, kind="stable")
+        self.rows, self.weights = rows[order], weights[order]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(features, minlength=self.n_features))])
 
     def search(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the k nearest vectors, best first, ties by id; all that share a feature if they are fewer."""
-        bound = np.zeros(self.n_blocks)
-        terms = [(f, w) for f, w in query.items() if f in self.blocks]
-        for f, w in terms:
-            bound[self.blocks[f]] += w * self.most[f]
-        ids, scores, least = np.empty(0, np.int64), np.empty(0), 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or bound[block] < least - 1e-9:
-                break
-            sums = np.zeros(BLOCK)
-            for f, w in terms:
-                if found := self.lists[f].get(int(block)):
-                    sums[found[0]] += w * found[1]
-            hit = np.flatnonzero(sums > 0)
-            ids, scores = np.concatenate([ids, hit + block * BLOCK]), np.concatenate([scores, np.round(sums[hit], 12)])
-            if len(ids) >= k:
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores = ids[best], scores[best]
-                least = scores[-1]
-        best = np.lexsort((ids, -scores))
-        return ids[best], scores[best]
+        return self.search_all([(np.array(list(query), np.int64), np.array(list(query.values()), float))], k)[0]
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for queries of features and weights."""
+        out = []
+        for at in range(0, len(queries), TOGETHER):
+            part, split = queries[at : at + TOGETHER], []
+            left = np.zeros((len(part), len(self.matrix)), self.matrix.dtype)
+            for i, (features, weights) in enumerate(part):
+                known = features < self.n_features
+                features, weights = features[known], weights[known]
+                places = self.row_of[features]
+                left[i, places[places >= 0]] = weights[places >= 0]
+                split.append((places[places >= 0], weights[places >= 0], features[places < 0], weights[places < 0]))
+            sums = left @ self.matrix
+            out += [self._nearest(*x, sums[i], k) for i, x in enumerate(split)]
+        return out
+
+    def _nearest(self, places: np.ndarray, dense: np.ndarray, features: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        starts, n = self.starts[features], self.starts[features + 1] - self.starts[features]
+        at = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
+        own = np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, n), self.n)
+        total = own + sums
+        hit = np.flatnonzero(total > 0)
+        if len(hit) > k:
+            # The product's rounding can't hide a neighbour; those that are near are added up again, the same way in any batch.
+            hit = np.flatnonzero((total > 0) & (total >= np.partition(total, self.n - k)[self.n - k] - 1e-5))
+        scores = np.round(own[hit] + np.add.reduce(self.matrix[np.ix_(places, hit)].astype(float) * dense[:, None], axis=0), 12)
+        best = np.lexsort((hit, -scores))[:k]
+        return hit[best], scores[best]
 
 
 @dataclass
-class Model:
+class Examples:
+    """What travels to the workers; each builds the index for itself, so that the driver holds the plain vectors only."""
+
     vocabulary: dict[str, int]
-    idf: np.ndarray
-    index: BlockMaxIndex
+    weight: np.ndarray  # of features: inverse document frequency times relevance
+    features: np.ndarray  # of all vectors, one after the other
+    weights: np.ndarray
+    starts: np.ndarray  # of vectors in features and weights, and the end
     counts: np.ndarray  # of merged examples, by vector: clean, toxic
     example_ids: list[str]
     empty_score: float
     prior: float
-    steps: np.ndarray  # votes at which the calibrated score changes
-    levels: np.ndarray
     k: int
 
-    def vector(self, counts) -> dict[int, float]:
-        raw = {f: (1 + math.log(n)) * self.idf[f] for f, n in counts}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {f: w / norm for f, w in raw.items()} if norm else {}
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        n = len(self.counts)
+        return BlockMaxIndex.of(np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts)), self.features, self.weights, n)
+
+    def left_out_votes(self, places: list[int]) -> list[tuple[int, int, float, int]]:
+        """Vector, label, vote and number of the examples of some vectors, each example left out of its own vote."""
+        own = [slice(self.starts[i], self.starts[i + 1]) for i in places]
+        found = self.index.search_all([(self.features[s], self.weights[s].astype(float)) for s in own], self.k)
+        return [(i, label, self.vote(*near, (i, label)), int(self.counts[i, label])) for i, near in zip(places, found, strict=True) for label in (0, 1) if self.counts[i, label]]
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray, without: tuple[int, int] | None = None) -> float:
         """Share of toxic examples among neighbours, weighted by 1 / distance; ``without``: leave one example of (vector, label) out."""
@@ -235,19 +274,27 @@ class Model:
         weights = counts / (1.0 - np.minimum(cosines, 1.0) + 0.05)[:, None]
         return float((weights[:, 1].sum() + self.prior) / (weights.sum() + 1.0))
 
-    def calibrated(self, vote: float) -> float:
-        return float(self.levels[np.searchsorted(self.steps, vote, "right") - 1]) if len(self.steps) else vote
+    def score_all(self, packed: list[bytes], steps: np.ndarray, levels: np.ndarray) -> list[tuple[float, list[tuple[str, float, float]]]]:
+        """Calibrated score and the nearest examples (id, toxic share, cosine) of texts, each given as its features and their counts."""
+        pairs = [np.frombuffer(p, "<i4").reshape(2, -1) for p in packed]
+        found = iter(self.index.search_all([(p[0], unit(*p, self.weight)) for p in pairs if p.size], self.k))
+        out = []
+        for p in pairs:
+            ids, cosines = next(found) if p.size else ((), ())
+            if not len(ids):
+                out.append((self.empty_score, []))
+                continue
+            near = [(self.example_ids[i], float(self.counts[i, 1] / self.counts[i].sum()), float(c)) for i, c in zip(ids[:3], cosines[:3], strict=True)]
+            vote = self.vote(ids, cosines)
+            out.append((float(levels[np.searchsorted(steps, vote, "right") - 1]) if len(steps) else vote, near))
+        return out
 
-    def score(self, counts) -> tuple[float, list[tuple[str, float, float]]]:
-        """Calibrated score and the nearest examples: id, toxic share, cosine."""
-        query = self.vector(counts)
-        if not query:
-            return self.empty_score, []
-        ids, cosines = self.index.search(query, self.k)
-        if not len(ids):
-            return self.empty_score, []
-        near = [(self.example_ids[i], float(self.counts[i, 1] / self.counts[i].sum()), float(c)) for i, c in zip(ids[:3], cosines[:3], strict=True)]
-        return self.calibrated(self.vote(ids, cosines)), near
+
+@dataclass
+class Model:
+    examples: Broadcast
+    steps: np.ndarray  # votes at which the calibrated score changes
+    levels: np.ndarray
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,43 +313,60 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
     return steps, levels
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = MAX_EXAMPLES, max_features: int = MAX_FEATURES, k: int = K) -> Model | None:
+def _left_out_votes(spark: SparkSession, shared: Broadcast, n: int) -> tuple[np.ndarray, ...]:
+    """Votes, labels and numbers of all examples; tasks search, one row for each vector and label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = shared.value.left_out_votes(batch.column("id").to_pylist())
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["i", "label", "vote", "n"])
+
+    tasks = max(1, min(n // 500, 2 * spark.sparkContext.defaultParallelism))
+    found = spark.range(0, n, 1, tasks).mapInArrow(run, "i long, label long, vote double, n long").toArrow().sort_by([("i", "ascending"), ("label", "ascending")])
+    return tuple(found[c].to_numpy().astype(float) for c in ("vote", "label", "n"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_examples: int = MAX_EXAMPLES, k: int = K) -> Model | None:
     """The model, or None without training rows."""
+    spark = docs.sparkSession
     examples = materialise(labelled(docs, labels, id_col, text_col, max_examples), "toxic-examples")
     by_label = {bool(r["t"]): r["n"] for r in examples.groupBy((F.col("toxic") == 1).alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_clean, n_toxic = by_label.get(False, 0), by_label.get(True, 0)
     if not n_clean + n_toxic:
         return None
-    names = select_features(examples, n_clean, n_toxic, max_features) if n_clean and n_toxic else []
-    vocabulary = {name: i for i, name in enumerate(names)}
-    total, found = _corpus_frequencies(docs, text_col, vocabulary)
-    idf = np.array([math.log((total + 1) / (found.get(i, 0) + 1)) + 1 for i in range(len(names))])
+    features = feature_counts(examples)
+    vocabulary = {name: i for i, name in enumerate(features["feature"].to_pylist())}
+    shared = spark.sparkContext.broadcast(vocabulary)
+    total, found = _corpus_frequencies(docs, text_col, shared)
+    weight = (np.log((total + 1) / (found + 1)) + 1) * relevance(features["toxic"].to_numpy(), features["clean"].to_numpy(), n_toxic, n_clean)
     base = n_toxic / (n_clean + n_toxic)
     empty, merged = [0, 0], {}
-    for row in _vectors(examples, vocabulary):
-        label = int(row["toxic"] == 1)
-        if not row["ids"]:
-            empty[label] += 1
-            continue
-        key = tuple(zip(row["ids"], row["counts"], strict=True))
-        entry = merged.setdefault(key, [row["x_id"], [0, 0]])
-        entry[0] = min(entry[0], row["x_id"], key=lambda x: (len(x), x))
-        entry[1][label] += 1
-    keys = sorted(merged, key=lambda c: (max((idf[f], -f) for f, _ in c), c))  # alike vectors stand together
+    for batch in _vectors(examples, shared).to_batches():
+        for row in range(batch.num_rows):
+            x_id, toxic, *key = (c[row].as_py() for c in batch.columns)
+            label = int(toxic == 1)
+            if not key[0]:
+                empty[label] += 1
+                continue
+            entry = merged.setdefault(tuple(key), [x_id, [0, 0]])
+            entry[0] = min(entry[0], x_id, key=lambda x: (len(x), x))
+            entry[1][label] += 1
+    del batch
     empty_score = (empty[1] + base) / (sum(empty) + 1)
-    model = Model(vocabulary, idf, BlockMaxIndex([]), np.array([merged[c][1] for c in keys]).reshape(-1, 2), [merged[c][0] for c in keys], empty_score, base, np.empty(0), np.empty(0), k)
-    vectors = [model.vector(c) for c in keys]
-    model.index = BlockMaxIndex(vectors)
-    votes, truth, weights = [], [], []
-    for i, vector in enumerate(vectors):
-        ids, cosines = model.index.search(vector, k)
-        for label in (0, 1):
-            if model.counts[i, label]:
-                votes.append(model.vote(ids, cosines, (i, label)))
-                truth.append(label)
-                weights.append(model.counts[i, label])
-    model.steps, model.levels = isotonic(np.array(votes), np.array(truth, float), np.array(weights, float))
-    return model
+    keys = sorted(merged, key=lambda c: (len(merged[c][0]), merged[c][0], c))
+    starts = np.concatenate([[0], np.cumsum([len(c[0]) // 4 for c in keys], dtype=np.int64)]).astype(np.int64)
+    ids, weights = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.float32)
+    for i, c in enumerate(keys):
+        own = slice(starts[i], starts[i + 1])
+        ids[own] = np.frombuffer(c[0], "<i4")
+        weights[own] = unit(ids[own], np.frombuffer(c[1], "<i4"), weight)
+    by_vector = (np.array([merged[c][1] for c in keys], np.int64).reshape(-1, 2), [merged[c][0] for c in keys])
+    del keys, merged
+    held = spark.sparkContext.broadcast(Examples(vocabulary, weight, ids, weights, starts, *by_vector, empty_score, base, k))
+    n = len(by_vector[0])
+    votes = _left_out_votes(spark, held, n) if n else (np.empty(0),) * 3
+    return Model(held, *isotonic(*votes))
 
 
 EVIDENCE = T.ArrayType(T.StructType([T.StructField("example_id", T.StringType()), T.StructField("toxic_share", T.DoubleType()), T.StructField("cosine", T.DoubleType())]))
@@ -314,20 +378,21 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     if model is None:
         added = kept.withColumn("score", F.lit(0.0)).withColumn("evidence", F.array().cast(EVIDENCE))
     else:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
+        shared, steps, levels = model.examples, model.steps, model.levels
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shared.value
             tokens, known = _Tokens(model.vocabulary), {}
             for batch in batches:
                 scores, evidence = [], []
-                for text in _texts(batch, text_col):
-                    counts = tuple(sorted(tokens.count(text).items()))
-                    if counts not in known:
-                        if len(known) > CACHE // 10:
-                            known.clear()
-                        known[counts] = model.score(counts)
-                    s, e = known[counts]
+                packed = [np.array(sorted(tokens.count(text).items()), "<i4").reshape(-1, 2).T.tobytes() for text in _texts(batch, text_col)]
+                names = [hashlib.blake2b(p, digest_size=16).digest() for p in packed]
+                if len(known) > CACHE // 10:
+                    known.clear()
+                new = {n: p for n, p in zip(names, packed, strict=True) if n not in known}
+                known.update(zip(new, model.score_all(list(new.values()), steps, levels), strict=True))
+                for name in names:
+                    s, e = known[name]
                     scores.append(s)
                     evidence.append([{"example_id": i, "toxic_share": t, "cosine": c} for i, t, c in e])
                 kind = pa.list_(pa.struct([("example_id", pa.string()), ("toxic_share", pa.float64()), ("cosine", pa.float64())]))

@@ -185,3 +185,19 @@ def test_edges_and_empty_tables(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, "u", ""), (3, "v", "x")], "page_id long, url string, html string")
     for frame in (pages, pages.limit(0)):
         assert warc.read_archives(warc.normalise(warc.write_archives(warc.revisits(frame)))).count() == frame.count()
+
+
+def test_toxicity_compares_all_words(spark):
+    """A toxic phrase of words that are ordinary one by one, and a long clean text with one marker."""
+    rng = random.Random(3)
+    word = lambda: rng.choice(["apple", "stone", "river", "cloud", "table", "paper", "green", "light", "music", "horse"]) + rng.choice("abcdefgh")
+    rows = [(i, " ".join(word() for _ in range(12)) + (" zork" if i % 10 == 0 else ""), int(i % 10 == 0)) for i in range(400)]
+    rows += [(400 + i, f"go back where you came {i}", 1) for i in range(4)]
+    rows += [(500, "go back where you came from", None), (501, "zork", None), (502, "zork " + " ".join(word() for _ in range(200)), None), (503, rows[1][1], None)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[2] is not None], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert got[500]["evidence"] and got[500]["evidence"][0]["example_id"] in {"400", "401", "402", "403"}
+    assert got[501]["evidence"][0]["cosine"] > got[502]["evidence"][0]["cosine"]
+    assert got[502]["evidence"][0]["cosine"] < 0.9
+    assert got[503]["evidence"][0]["cosine"] == pytest.approx(1)
