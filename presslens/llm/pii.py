@@ -33,6 +33,8 @@ What happens in special cases:
   stays as it is; texts are searched whole;
 * where two types fit, the earlier start and then the order of the pattern
   decides, and a name never overlaps another type;
+* an entity never is its own surrogate, unless no character of it can change (a
+  local part of marks alone);
 * equal rows are treated alike; ``entities, n_entities`` are added and replace
   input columns of these names; all other columns stay.
 """
@@ -62,14 +64,16 @@ GIVEN = {
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Señor", "Señora", "Sr", "Sra", "Monsieur", "Madame", "Mme", "Mlle", "г-н", "г-жа", "господин", "госпожа")
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "name")
 _GIVEN = {name: (group, i) for group, names in GIVEN.items() for i, name in enumerate(names)}
-_WORD = r"\p{Lu}[\p{Ll}]+(?:[-'’]\p{Lu}[\p{Ll}]+)?"
+_WORD = r"(?:\p{Lu}['’])?\p{Lu}[\p{Ll}]+(?:\p{Lu}\p{Ll}+)?(?:[-'’]\p{Lu}[\p{Ll}]+)?"
 MARKS = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b)"
     r"|(?P<card>(?<![\w+])(?:\d[ -]?){12,18}\d(?![\d-]*\d)(?!\w))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])(?:\d{2,4}[ .-]?){1,3}\d{2,4}(?!\w)|(?<![\w+])\+\d{10,15}(?!\w))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d{1,4}(?:[ ./-]\d{2,8}){1,5}(?!\w)"
+    r"|(?<![\w+/.-])0\d{2,4}/\d{5,8}(?![\w/])|(?<![\w+/.-])(?:[2-9]\d{2}[2-9]\d{6}|0[1-9]\d{8,9})(?![\w/]|[.-]\d)"
+    r"|(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])(?:\d{2,4}[ .-]?){1,3}\d{2,4}(?!\w)|(?<![\w+])\+\d{10,15}(?!\w))"
 )
 NAME = regex.compile(
     rf"\b(?:(?:{'|'.join(TITLES)})\.? )(?:{_WORD} ){{0,2}}{_WORD}\b"
@@ -95,32 +99,56 @@ def permute(value: int, size: int, tweak: str, key: str = KEY) -> int:
         return value
     a = 1 << (size - 1).bit_length() // 2
     b = -(-size // a)
-    while True:
-        left, right = divmod(value, b)
-        for i in range(4):  # left in a, right in b
-            left = (left + _round(key, tweak, 2 * i, right)) % a
-            right = (right + _round(key, tweak, 2 * i + 1, left)) % b
-        value = left * b + right
-        if value < size:
-            return value
+    # To a keyed place, one further, and back: one cycle of all values, so none stays where it is.
+    for back in (False, True):
+        while True:
+            left, right = divmod(value, b)
+            for i in range(4):  # left in a, right in b
+                if back:
+                    right = (right - _round(key, tweak, 7 - 2 * i, left)) % b
+                    left = (left - _round(key, tweak, 6 - 2 * i, right)) % a
+                else:
+                    left = (left + _round(key, tweak, 2 * i, right)) % a
+                    right = (right + _round(key, tweak, 2 * i + 1, left)) % b
+            value = left * b + right
+            if value < size:
+                break
+        value = value if back else (value + 1) % size
+    return value
+
+
+@lru_cache(1000)
+def _letters(block: int, cased: bool) -> str:
+    """Letters of 128 code points that are in none of ALPHABETS, with or without a capital of one character."""
+    found = (chr(i) for i in range(block * 128, block * 128 + 128))
+    return "".join(c for c in found if c.isalpha() and c.lower() == c and _cased(c) == cased and not any(c in x for x in ALPHABETS))
+
+
+def _cased(c: str) -> bool:
+    return len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c
+
+
+def _group(c: str) -> str:
+    """The characters that stand in for one; empty if it stays."""
+    return next((x for x in ALPHABETS if c in x), "") or (_letters(ord(c) // 128, _cased(c)) if c.isalpha() else "")
 
 
 def _alike(text: str, tweak: str, key: str) -> str:
     """Permute a string among those with the same kinds of characters at the same places; case stays."""
-    low = text.lower()
-    kinds = [next((k for k, letters in enumerate(ALPHABETS) if c in letters), -1) for c in low]
+    low = [c.lower() if len(c.lower()) == 1 and _cased(c.lower()) else c for c in text]
+    kinds = [_group(c) for c in low]
     size, value = 1, 0
     for c, k in zip(low, kinds, strict=True):
-        if k >= 0:
-            size *= len(ALPHABETS[k])
-            value = value * len(ALPHABETS[k]) + ALPHABETS[k].index(c)
-    shape = "".join(c if k < 0 else str(k) for c, k in zip(low, kinds, strict=True))
+        if c in k:
+            size *= len(k)
+            value = value * len(k) + k.index(c)
+    shape = "".join(k[0] if c in k else c for c, k in zip(low, kinds, strict=True))
     value = permute(value, size, f"{tweak}|{shape}", key)
     out = list(text)
     for i in range(len(text) - 1, -1, -1):
-        if kinds[i] >= 0:
-            value, at = divmod(value, len(ALPHABETS[kinds[i]]))
-            c = ALPHABETS[kinds[i]][at]
+        if low[i] in kinds[i]:
+            value, at = divmod(value, len(kinds[i]))
+            c = kinds[i][at]
             out[i] = c.upper() if text[i] != low[i] else c
     return "".join(out)
 

@@ -201,3 +201,16 @@ def test_toxicity_compares_all_words(spark):
     assert got[501]["evidence"][0]["cosine"] > got[502]["evidence"][0]["cosine"]
     assert got[502]["evidence"][0]["cosine"] < 0.9
     assert got[503]["evidence"][0]["cosine"] == pytest.approx(1)
+
+
+@pytest.mark.parametrize("text", ["+33 1 23 45 67 89", "+49 (0)30 123456", "5552234567", "030/1234567", "Dr. O'Brien", "Anna McDonald", "Frau Şñß", "Dr. Παπαδόπουλος", "мир@example.org", "ñandú@example.org", "山田@example.org"])
+def test_entities_are_found_whole_and_change(text):
+    new, entities = pii.anonymise(f"x {text} y")
+    assert [x[1:] for x in pii.find(f"x {text} y")] == [(2, 2 + len(text))] and len(entities) == 1
+    assert new != f"x {text} y"
+
+
+def test_permutation_moves_every_value():
+    for size in (2, 3, 40, 105):
+        moved = [pii.permute(i, size, "t") for i in range(size)]
+        assert sorted(moved) == list(range(size)) and all(a != i for i, a in enumerate(moved))
