@@ -10,23 +10,33 @@ from pyspark.sql import functions as F
 from presslens.shared import materialise
 
 
-def spanning_forest(pairs: Iterable[tuple[int, int]], n: int) -> list[tuple[int, int]]:
-    """The pairs of 0 .. n - 1 that first join two components: within one task, for a bounded block."""
-    parent = list(range(n))
+class Forest:
+    """Components of 0 .. n - 1 within one task, for a bounded block."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
 
-    def find(x: int) -> int:
+    def find(self, x: int) -> int:
+        parent = self.parent
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    kept = []
+    def join(self, a: int, b: int) -> None:
+        self.parent[self.find(a)] = self.find(b)
+
+    def stars(self) -> list[tuple[int, int]]:
+        """A pair (root, x) of every x that isn't its component's root."""
+        return [(r, x) for x in range(len(self.parent)) if (r := self.find(x)) != x]
+
+
+def spanning_forest(pairs: Iterable[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """Pairs that hold together what ``pairs`` link, one for each node but the roots."""
+    forest = Forest(n)
     for a, b in pairs:
-        x, y = find(a), find(b)
-        if x != y:
-            parent[x] = y
-            kept.append((a, b))
-    return kept
+        forest.join(a, b)
+    return forest.stars()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

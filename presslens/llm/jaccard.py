@@ -29,6 +29,7 @@ What happens in special cases:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from presslens.llm.graph import components, spanning_forest
+from presslens.llm.graph import Forest, components
 from presslens.shared import materialise
 
 WORDS = 5
@@ -49,10 +50,18 @@ VERIFY_COST = 30.0
 MAX_MATCH = 8
 #: Members of a group that are compared in one block.
 GROUP = 256
+#: Shingles of at most about so many holders by the sketch are cold.
+COLD = 4096
+#: Groups of at most so many holders are taken pair by pair.
+SMALL = 16
+#: A node's hub is likely to be its copy if it stands for a 1 / LIKELY of the node's prefix.
+LIKELY = 4
+#: Shingles that are counted together in a block.
+COLUMNS = 4096
 #: So many rows of ids are sent to every executor (40 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Words whose hash a worker remembers; the memory starts again beyond it.
-CACHE = 1_000_000
+CACHE = 300_000
 
 
 class Shingler:
@@ -88,6 +97,11 @@ def split(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()  # bytes: A-Z only, and the six ASCII spaces
 
 
+def sequence_hash(words: list[bytes]) -> int:
+    """What stands for a word sequence."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+
+
 def _bytes(column: pa.Array) -> Iterator[bytes | None]:
     return (x.as_py() for x in column.cast(pa.binary()))
 
@@ -141,8 +155,8 @@ class Orderer:
     def __init__(self, levels: np.ndarray, load: float, percent: int):
         self.levels, self.load, self.percent = levels, load, percent
 
-    def order(self, hashes: np.ndarray) -> tuple[np.ndarray, int, int, int]:
-        """Shingles rare first; the prefix length, the matches it asks for, and the prefix's mean level in 1/256."""
+    def order(self, hashes: np.ndarray) -> tuple[np.ndarray, int, int, np.ndarray]:
+        """Shingles rare first; the prefix length, the matches it asks for, and the prefix's levels."""
         levels = self.levels[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
         by = np.argsort(levels, kind="stable")  # hashes come in order, so ties go by hash
         hashes, levels, n = hashes[by], levels[by], len(hashes)
@@ -153,125 +167,225 @@ class Orderer:
         reads = np.cumsum(readings)[n - need :]
         matches = np.arange(1, most + 1)
         k = int(np.argmin(reads + VERIFY_COST * reads / matches + matches * 1e-6)) + 1
-        prefix = n - need + k
-        return hashes, prefix, k, int(levels[:prefix].mean() * 256)
+        return hashes, n - need + k, k, levels[: n - need + k]
 
 
 def signatures(docs: DataFrame, shared, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``doc_id, node, n, weight, prefix`` of every document; ``node`` stands for the word sequence, null without words."""
+    """``doc_id, node, n, k, weight, cold, hot`` of every document.
+
+    ``node`` stands for the word sequence (null without words), ``k`` is the number
+    of prefix shingles that a partner must share, ``weight`` the prefix's mean
+    level. Prefix shingles are ``hot`` where the counters don't rule out more than
+    ``COLD`` holders.
+    """
+    limit = int(1 + 8 * math.log2(COLD))
+
+    def lists(parts: list[np.ndarray]) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, orderer = Shingler(size), Orderer(*shared.value)
+        shingler, orderer, none = Shingler(size), Orderer(*shared.value), np.empty(0, np.uint64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                nodes, sizes, weights, prefixes = [], [], [], []
+                rows, cold, hot = [], [], []
                 for text in _bytes(part.column(1)):
                     words = split(text)
                     hashes = shingler.hashes(words)
-                    sizes.append(len(hashes))
-                    if len(hashes):
-                        ordered, p, _, weight = orderer.order(hashes)
-                        nodes.append(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words))).astype(np.int64))
-                        weights.append(weight)
-                        prefixes.append(ordered[:p].view(np.int64))
-                    else:
-                        nodes.append(None)
-                        weights.append(0)
-                        prefixes.append(np.empty(0, np.int64))
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefixes)]), pa.int32()), pa.array(np.concatenate(prefixes)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int32()), lists], names=["doc_id", "node", "n", "weight", "prefix"])
+                    if not len(hashes):
+                        rows.append((None, 0, 0, 0))
+                        cold.append(none)
+                        hot.append(none)
+                        continue
+                    ordered, length, k, levels = orderer.order(hashes)
+                    rows.append((sequence_hash(words), len(hashes), k, int(levels.mean() * 256)))
+                    cold.append(ordered[:length][levels <= limit])
+                    hot.append(ordered[:length][levels > limit])
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+                columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns, lists(cold), lists(hot)], names=["doc_id", "node", "n", "k", "weight", "cold", "hot"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(sign, f"doc_id {kind}, node long, n long, weight int, prefix array<long>")
+    return docs.select(id_col, text_col).mapInArrow(sign, f"doc_id {kind}, node long, n long, k int, weight int, cold array<long>, hot array<long>")
+
+
+def token_groups(speakers: DataFrame) -> DataFrame:
+    """``token, node, hub, m``: the m holders of each prefix shingle that at least two hold; ``hub`` is that of the most common prefix.
+
+    A cold shingle's holders are few by the counters and meet in a window; a hot
+    one's top is combined before the shuffle and joined back, which adaptive
+    execution can split.
+    """
+    top = F.max(F.struct("weight", "node"))
+    same = Window.partitionBy("token")
+    cold = speakers.select("node", "weight", F.explode("cold").alias("token")).withColumns({"m": F.count(F.lit(1)).over(same), "top": top.over(same)})
+    hot = speakers.select("node", "weight", F.explode("hot").alias("token"))
+    hot = hot.join(hot.groupBy("token").agg(F.count(F.lit(1)).alias("m"), top.alias("top")), "token")
+    return cold.select("token", "node", "top", "m").union(hot.select("token", "node", "top", "m")).filter("m > 1").select("token", "node", F.col("top.node").alias("hub"), "m")
 
 
-def _incidence(sets: list[np.ndarray]) -> np.ndarray:
-    """Rows of 0 and 1 over the shingles that at least two sets hold."""
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each pair of sets has in common; over slices of the elements, so memory is bounded."""
     tokens, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.cumsum(counts > 1) - 1
-    out = np.zeros((len(sets), int((counts > 1).sum())), np.float32)
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    twice = counts[at] > 1
-    out[rows[twice], column[at[twice]]] = 1
+    column = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[at]
+    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[column >= 0]
+    column = column[column >= 0]
+    by = np.argsort(column, kind="stable")
+    rows, column = rows[by], column[by]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        slab = np.zeros((len(sets), COLUMNS), np.float32)
+        slab[rows[part], column[part] - low] = 1
+        out += slab @ slab.T
     return out
 
 
+def common(x: np.ndarray, y: np.ndarray) -> int:
+    """The size of the intersection of two sorted sets."""
+    return int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
+
+
 def verified_links(prefixes: list[np.ndarray], matches: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among some sets; candidates share enough prefix shingles, then sets are counted exactly."""
+    """A spanning forest of the links among some sorted sets.
+
+    Candidates share enough prefix shingles; they are counted exactly, those that
+    share most of them first, unless earlier links join them already.
+    """
     sizes = np.array([len(s) for s in sets])
-    incidence = _incidence(prefixes)
-    pairs = np.triu(incidence @ incidence.T >= np.minimum(matches[:, None], matches[None, :]), 1)
+    shares = shared_counts(prefixes)
+    pairs = np.triu(shares >= np.minimum(matches[:, None], matches[None, :]), 1)
     pairs &= 100 * np.minimum(sizes[:, None], sizes[None, :]) >= percent * np.maximum(sizes[:, None], sizes[None, :])
     a, b = np.nonzero(pairs)
-    if not len(a):
-        return []
-    some, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    full = _incidence([sets[i] for i in some])
-    shared = (full @ full.T)[at[: len(a)], at[len(a) :]].astype(np.int64)
-    linked = 100 * shared >= percent * (sizes[a] + sizes[b] - shared)
-    return spanning_forest(zip(a[linked].tolist(), b[linked].tolist(), strict=True), len(sets))
+    lengths = np.array([len(p) for p in prefixes])
+    by = np.argsort(-shares[a, b] / np.minimum(lengths[a], lengths[b]), kind="stable")
+    forest = Forest(len(sets))
+    for i, j in zip(a[by].tolist(), b[by].tolist(), strict=True):
+        if forest.find(i) != forest.find(j):
+            both = common(sets[i], sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                forest.join(i, j)
+    return forest.stars()
 
 
-def compared(groups: DataFrame) -> DataFrame:
-    """``part, low, high, node``: where each member of ``groups`` (hub, node) is compared.
+def starred(edges: DataFrame) -> DataFrame:
+    """``part, low, high, node``: pairs (node, hub) with each hub's nodes in lots of at most about ``GROUP``, the hub in every lot."""
+    lots = edges.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("lots"))
+    dealt = edges.join(lots, "hub").select(F.col("hub").alias("part"), F.pmod(F.xxhash64("node"), F.col("lots")).cast("int").alias("low"), "node")
+    hubs = lots.select(F.col("hub").alias("part"), F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("low"), F.col("hub").alias("node"))
+    return dealt.union(hubs).select("part", "low", F.lit(-1).alias("high"), "node")
 
-    Members that hang together over hubs form one part if they are at most
-    ``GROUP``, so each is sent once; other hubs keep their members, dealt into blocks
-    of which all pairs meet.
+
+def blocked(groups: DataFrame) -> DataFrame:
+    """``part, low, high, node``: members of ``groups`` (hub, node, component) in blocks of which all pairs meet, but for blocks of one component.
+
+    A component of more than ``GROUP`` members has blocks of its own.
     """
-    whole = materialise(components(groups.select(F.col("hub").alias("a"), F.col("node").alias("b"))), "jaccard-parts")
-    size = whole.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-    sized = materialise(whole.join(size, "component"), "jaccard-parts")
-    small = sized.filter(F.col("m") <= GROUP).select(F.col("component").alias("part"), F.lit(0).alias("low"), F.lit(0).alias("high"), "node")
-    large = groups.join(sized.filter(F.col("m") > GROUP).select("node"), "node", "left_semi")
-    blocks = large.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
-    dealt = (
-        large.join(blocks, "hub")
-        .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(F.col("hub").alias("part"), (F.least("mine", "other") + 1).alias("low"), (F.greatest("mine", "other") + 1).alias("high"), "node")
-    )
-    return small.union(dealt)
-
-
-def links(members: DataFrame, shared, size: int) -> DataFrame:
-    """``a, b``: verified links among the members (part, low, high, node, text) that meet."""
-
-    def compare(group: pa.Table) -> pa.Table:
-        shingler, orderer = Shingler(size), Orderer(*shared.value)
-        seen: dict[int, tuple] = {}
-        for node, text in zip(group.column("node").to_pylist(), _bytes(group.column("text")), strict=True):
-            if node not in seen and (words := split(text)):
-                seen[node] = orderer.order(shingler.hashes(words))
-        nodes, ordered = list(seen), list(seen.values())
-        found = verified_links([o[0][: o[1]] for o in ordered], np.array([o[2] for o in ordered]), [o[0] for o in ordered], orderer.percent)
-        return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
-
-    return members.groupBy("part", "low", "high").applyInArrow(compare, "a long, b long")
+    sizes = groups.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("size"))
+    large = F.col("size") > GROUP
+    small = sizes.filter(~large).groupBy("hub").agg(F.sum("size").alias("rest"))
+    sizes = sizes.join(small, "hub", "left").select("hub", F.col("component"), large.alias("alone"), F.ceil(F.when(large, F.col("size")).otherwise(F.col("rest")) / GROUP).alias("parts"))
+    own = F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))
+    placed = groups.join(sizes, ["hub", "component"]).select("hub", "node", F.when(F.col("alone"), F.col("component")).alias("only"), F.when(F.col("alone"), own).otherwise(F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block"))
+    placed = materialise(placed, "jaccard-blocks")
+    blocks = placed.select("hub", "block", "only").distinct()
+    other = blocks.select("hub", F.col("block").alias("other"), F.col("only").alias("their"))
+    met = blocks.join(other, "hub").filter((F.col("block") <= F.col("other")) & ~F.coalesce(F.col("only") == F.col("their"), F.lit(False)))
+    sides = met.select("hub", F.col("block").alias("low"), F.col("other").alias("high"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    return sides.join(placed.drop("only"), ["hub", "block"]).select(F.col("hub").alias("part"), "low", "high", "node")
+
+
+def candidate_pairs(small: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``hub, node``: pairs of different components in groups (token, node, component) of at most ``SMALL``, which share shingles enough."""
+    one, two = (small.select("token", F.col("node").alias(x), F.col("component").alias(f"{x}_component")) for x in "ab")
+    counted = one.join(two, "token").filter("a < b AND a_component <> b_component").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    for x in "ab":
+        counted = counted.join(nodes.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("k").alias(f"{x}_k")), x)
+    enough = (F.col("shared") >= F.least("a_k", "b_k")) & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+    return counted.filter(enough).select(F.col("a").alias("hub"), F.col("b").alias("node"))
+
+
+class Comparison:
+    """Fetches the texts of nodes that meet, each by its row's id and word sequence, and verifies links among them."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, shared, id_col: str, text_col: str, size: int):
+        self.docs = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).alias("text"))
+        self.nodes, self.shared, self.size = nodes, shared, size
+
+    def texts(self) -> DataFrame:
+        """``t_id, t_node, text``; a task returns equal rows once."""
+
+        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set = set()
+            for batch in batches:
+                nodes, first = [], []
+                for row, text in zip(batch.column("t_id").to_pylist(), _bytes(batch.column("text")), strict=True):
+                    words = split(text)
+                    nodes.append(sequence_hash(words) if words else None)
+                    first.append(bool(words) and (row, nodes[-1]) not in seen)
+                    seen.add((row, nodes[-1]))
+                named = pa.RecordBatch.from_arrays([batch.column("t_id"), pa.array(nodes, pa.int64()), batch.column("text")], names=["t_id", "t_node", "text"])
+                yield named.filter(pa.array(first, pa.bool_()))
+
+        kind = self.docs.schema["t_id"].dataType.simpleString()
+        return self.docs.mapInArrow(name, f"t_id {kind}, t_node long, text string")
+
+    def links(self, meetings: DataFrame) -> DataFrame:
+        """``a, b``: verified links among the nodes that meet (part, low, high, node)."""
+        shared, size = self.shared, self.size
+
+        def compare(group: pa.Table) -> pa.Table:
+            shingler, orderer = Shingler(size), Orderer(*shared.value)
+            sets: dict[int, np.ndarray] = {}
+            for node, text in zip(group.column("node").to_pylist(), _bytes(group.column("text")), strict=True):
+                if node not in sets:
+                    sets[node] = shingler.hashes(split(text))
+            nodes, prefixes, matches = list(sets), [], []
+            for hashes in sets.values():
+                ordered, length, k, _ = orderer.order(hashes)
+                prefixes.append(ordered[:length])
+                matches.append(k)
+            found = verified_links(prefixes, np.array(matches), list(sets.values()), orderer.percent)
+            return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
+
+        wanted = materialise(meetings.join(self.nodes.select("node", F.col("doc_id").alias("w_id")), "node"), "jaccard-wanted")
+        n = wanted.count()
+        near = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
+        members = self.texts().join(near, (F.col("t_node") == F.col("node")) & F.col("t_id").eqNullSafe(F.col("w_id"))).select("part", "low", "high", "node", "text")
+        return materialise(members.groupBy("part", "low", "high").applyInArrow(compare, "a long, b long"), "jaccard-links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: documents linked by a Jaccard similarity of at least ``percent`` / 100."""
     shared = docs.sparkSession.sparkContext.broadcast((*count_sketch(docs, text_col, words), percent))
-    signed = materialise(signatures(docs, shared, id_col, text_col, words), "jaccard-signatures")
-    classes = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    # The document of the smallest id speaks for its class.
-    speakers = signed.filter("n > 0").join(classes, "node").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-    same = Window.partitionBy("token")
-    groups = (
-        speakers.select("node", "weight", F.explode("prefix").alias("token"))
-        .withColumns({"most": F.max(F.struct("weight", "node")).over(same), "least": F.min("node").over(same), "last": F.max("node").over(same)})
-        .filter("least < last")
-        .select(F.col("most.node").alias("hub"), "node")
-        .distinct()
-    )
-    groups = materialise(groups, "jaccard-groups")
-    wanted = materialise(compared(groups).join(classes, "node").withColumnRenamed("rep", "w_id"), "jaccard-wanted")
-    near = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    members = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).alias("text")).join(near, F.col("t_id").eqNullSafe(F.col("w_id"))).select("part", "low", "high", "node", "text")
-    found = components(links(members, shared, words))
-    least = classes.join(found, "node").groupBy("component").agg(F.min("rep").alias("component_id"))
-    moved = found.join(least, "component").select("node", "component_id")
-    per_class = classes.join(moved, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
-    return signed.join(per_class, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    signed = materialise(signatures(docs, shared, id_col, text_col, words).withColumn("row", F.monotonically_increasing_id()), "jaccard-signatures")
+    # The row of the smallest id speaks for its class.
+    first = signed.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    first = materialise(first.select(F.col("node").alias("c_node"), F.col("first.doc_id").alias("rep"), F.col("first.row").alias("c_row")), "jaccard-classes")
+    near = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
+    speakers = signed.join(near, (F.col("node") == F.col("c_node")) & (F.col("row") == F.col("c_row")))
+    nodes = materialise(speakers.select("node", "doc_id", "n", "k", (F.size("cold") + F.size("hot")).alias("prefix")), "jaccard-nodes")
+    groups = materialise(token_groups(speakers), "jaccard-groups")
+    comparison = Comparison(docs, nodes, shared, id_col, text_col, words)
+
+    # First each node meets the hub with which it shares most; that joins nearly all near copies.
+    stars = groups.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(F.max(F.struct("n", "hub")).alias("most"))
+    likely = stars.join(nodes.select("node", "prefix"), "node").filter(F.col("most.n") * LIKELY >= F.col("prefix")).select(F.col("most.hub").alias("hub"), "node")
+    links = comparison.links(starred(likely))
+
+    # Then all pairs that are still apart.
+    named = components(links)
+    placed = groups.join(named, "node", "left").select("token", "node", "hub", "m", F.coalesce("component", "node").alias("component"))
+    parted = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("last")).filter("least < last").select("token")
+    apart = materialise(placed.join(parted, "token"), "jaccard-apart")
+    pairs = candidate_pairs(apart.filter(F.col("m") <= SMALL), nodes, percent)
+    large = blocked(apart.filter(F.col("m") > SMALL).select("hub", "node", "component").distinct())
+    links = links.union(comparison.links(starred(pairs).union(large)))
+
+    found = components(links)
+    moved = found.join(nodes.select("node", F.col("doc_id").alias("rep")), "node")
+    least = moved.groupBy("component").agg(F.min("rep").alias("component_id"))
+    moved = materialise(moved.join(least, "component").select(F.col("node").alias("m_node"), "component_id"), "jaccard-moved")
+    moved = F.broadcast(moved) if moved.count() <= BROADCAST_IDS else moved
+    named = signed.select("doc_id", "node", "n").join(near, F.col("node") == F.col("c_node"), "left").join(moved, F.col("node") == F.col("m_node"), "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
