@@ -8,10 +8,10 @@ they lean to toxic or to clean examples. The weight of a feature in a text is
 its TF-IDF, with document frequencies counted over all documents, times
 1 + log(1 + chi-square) of the feature and the label among the examples: none
 is dropped, those that tell count more. Equal vectors are merged with their
-counts. A query is compared with every example: features that many examples
-hold by a matrix product, the others by their postings, so the ``k`` neighbours
-are exact. Votes weighted by distance are mapped to probabilities by isotonic
-regression on leave-one-out votes.
+counts. Block maxima of features bound the cosines of a query with all examples;
+those whose bound reaches the best cosines are computed in full, so the ``k``
+neighbours are exact. Votes weighted by distance are mapped to probabilities by
+isotonic regression on leave-one-out votes.
 
 What happens in special cases:
 
@@ -20,7 +20,8 @@ What happens in special cases:
 * null labels count as missing; of several labels of one id the largest holds;
 * documents with a null id are never training rows and are not held out;
 * without training rows every score is 0;
-* equal texts get equal scores; ties in cosine go to the smaller example id;
+* equal texts get equal scores; ties in cosine go to the smaller example id (the
+  shorter one first, then by code point; of equal vectors the smallest);
 * all columns of the input stay, ``held_out, score, predicted, evidence`` are
   added and replace input columns of these names.
 """
@@ -32,6 +33,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +44,22 @@ from pyspark.sql import types as T
 
 from presslens.shared import materialise
 
-MAX_EXAMPLES = 30_000
+MAX_EXAMPLES = 8_000
 K = 15
 LEAST_DF = 2
 THRESHOLD = 0.3
 #: Queries that are compared together.
 TOGETHER = 128
-#: Features of at least this share of the examples are kept as rows of a matrix.
-DENSE_SHARE = 0.02
+#: More than what rounding to single precision takes from a cosine.
+SLACK = 1e-5
+#: Vectors in a block, and the share of the vectors from which a feature is held by many.
+BLOCK = 64
+MANY_SHARE = 0.1
+#: Where bounds leave more than this share of the vectors, all are added up in one product.
+FEW = 0.125
 PREFIX = 5
 #: Texts and their tokens that a worker remembers; the memory starts again beyond it.
-CACHE = 500_000
+CACHE = 200_000
 ADDED = ("held_out", "score", "predicted", "evidence")
 
 
@@ -93,6 +100,11 @@ class _Tokens(dict):
             counts.update(known)
         return counts
 
+    def packed(self, text: bytes | None) -> np.ndarray:
+        """The ids of a text's features and, in a second row, how often they occur."""
+        found = np.fromiter(chain.from_iterable(map(self.__getitem__, (text or b"").split())), np.int32)
+        return np.stack(np.unique(found, return_counts=True)).astype("<i4")
+
 
 def _texts(batch: pa.RecordBatch, column: str) -> Iterator[bytes | None]:
     return (x.as_py() for x in batch.column(column).cast(pa.binary()))
@@ -146,8 +158,8 @@ def _vectors(examples: DataFrame, shared) -> pa.Table:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _Tokens(shared.value)
         for batch in batches:
-            counts = [np.array(sorted(tokens.count(t).items()), "<i4").reshape(-1, 2) for t in _texts(batch, "text")]
-            arrays = [pa.array([x[:, k].tobytes() for x in counts], pa.binary()) for k in (0, 1)]
+            counts = [tokens.packed(t) for t in _texts(batch, "text")]
+            arrays = [pa.array([x[k].tobytes() for x in counts], pa.binary()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("x_id").cast(pa.string()), batch.column("toxic").cast(pa.int64()), *arrays], names=["x_id", "toxic", "ids", "counts"])
 
     return examples.select("x_id", "toxic", "text").mapInArrow(vectors, "x_id string, toxic long, ids binary, counts binary").toArrow()
@@ -160,7 +172,7 @@ def _corpus_frequencies(docs: DataFrame, text_col: str, shared) -> tuple[int, np
         tokens, seen, n = _Tokens(shared.value), np.zeros(len(shared.value), np.int64), 0
         for batch in batches:
             for text in _texts(batch, text_col):
-                seen[list(tokens.count(text))] += 1
+                seen[tokens.packed(text)[0]] += 1
                 n += 1
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(seen[some], n))], names=["id", "n"])
@@ -179,7 +191,15 @@ def unit(ids: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Normalised vectors by feature: a matrix row of each feature that many vectors hold, postings of the others."""
+    """Normalised vectors by feature, in blocks of similar vectors.
+
+    Features that few vectors hold have postings, which are added up in full. Of
+    the others a block has the largest weight only, and a vector its length in
+    them: both bound what they can add to a cosine. Vectors whose bound reaches
+    the k-th best cosine known are completed exactly from their own weights. For
+    queries whose bounds leave many vectors, one matrix product narrows them down
+    first.
+    """
 
     def __init__(self, vectors: list[dict[int, float]]):
         n = [len(v) for v in vectors]
@@ -195,13 +215,33 @@ class BlockMaxIndex:
     def _build(self, rows: np.ndarray, features: np.ndarray, weights: np.ndarray, n: int) -> None:
         self.n, self.n_features = n, int(features.max(initial=-1)) + 1
         df = np.bincount(features, minlength=self.n_features)
-        many = np.flatnonzero(df >= max(TOGETHER, DENSE_SHARE * n))
-        self.row_of = np.full(self.n_features, -1, np.int32)  # of features in the matrix
-        self.row_of[many] = np.arange(len(many))
-        self.matrix = np.zeros((len(many), n), weights.dtype)
-        dense = self.row_of[features] >= 0
-        self.matrix[self.row_of[features[dense]], rows[dense]] = weights[dense]
-        rows, features, weights = rows[~dense], features[~dense], weights[~dense]
+        many = np.flatnonzero(df >= max(2 * BLOCK, MANY_SHARE * n))
+        self.slot_of = np.full(self.n_features, -1, np.int32)  # of features that many vectors hold
+        self.slot_of[many] = np.arange(len(many))
+        slots = self.slot_of[features]
+        often = slots >= 0
+        # Similar vectors stand together: those whose heaviest features are the same.
+        by = np.lexsort((-weights[often], rows[often]))
+        heads, first = np.unique(rows[often][by], return_index=True)
+        heaviest = np.full((2, n), -1, np.int64)
+        heaviest[0, heads] = slots[often][by[first]]
+        second = np.minimum(first + 1, max(len(by) - 1, 0))
+        heaviest[1, heads] = np.where(rows[often][by[second]] == heads, slots[often][by[second]], -1)
+        self.name = np.lexsort((np.arange(n), heaviest[1], heaviest[0])).astype(np.int32)  # of the vector at each place
+        place = np.empty(n, np.int32)
+        place[self.name] = np.arange(n, dtype=np.int32)
+        rows = place[rows]
+
+        order = np.argsort(rows[often], kind="stable")
+        self.own_slots, self.own_weights = slots[often][order], weights[often][order]
+        self.own_starts = np.concatenate([[0], np.cumsum(np.bincount(rows[often], minlength=n))])
+        self.length = np.sqrt(np.bincount(rows[often], weights[often].astype(float) ** 2, n))
+        self.matrix = np.zeros((len(many), n), np.float32)
+        self.matrix[slots[often], rows[often]] = weights[often]
+        self.block_max = np.zeros((-(-n // BLOCK), len(many)), np.float32)
+        np.maximum.at(self.block_max, (rows[often] // BLOCK, slots[often]), weights[often])
+
+        rows, features, weights = rows[~often], features[~often], weights[~often]
         order = np.argsort(features, kind="stable")
         self.rows, self.weights = rows[order], weights[order]
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(features, minlength=self.n_features))])
@@ -212,32 +252,55 @@ class BlockMaxIndex:
 
     def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """``search`` for queries of features and weights."""
-        out = []
-        for at in range(0, len(queries), TOGETHER):
-            part, split = queries[at : at + TOGETHER], []
-            left = np.zeros((len(part), len(self.matrix)), self.matrix.dtype)
-            for i, (features, weights) in enumerate(part):
-                known = features < self.n_features
-                features, weights = features[known], weights[known]
-                places = self.row_of[features]
-                left[i, places[places >= 0]] = weights[places >= 0]
-                split.append((places[places >= 0], weights[places >= 0], features[places < 0], weights[places < 0]))
-            sums = left @ self.matrix
-            out += [self._nearest(*x, sums[i], k) for i, x in enumerate(split)]
-        return out
-
-    def _nearest(self, places: np.ndarray, dense: np.ndarray, features: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return [x for at in range(0, len(queries), TOGETHER) for x in self._search_part(queries[at : at + TOGETHER], k)]
+
+    def _search_part(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        often = np.zeros((len(queries), len(self.matrix)))
+        sums = np.empty((len(queries), self.n))
+        for i, (features, weights) in enumerate(queries):
+            known = features < self.n_features
+            features, weights = features[known], weights[known]
+            slots = self.slot_of[features]
+            often[i, slots[slots >= 0]] = weights[slots >= 0]
+            sums[i] = self._postings(features[slots < 0], weights[slots < 0])
+        bounds = often.astype(np.float32) @ self.block_max.T
+        hits = [self._reaching(sums[i], np.minimum(np.repeat(bounds[i], BLOCK)[: self.n], self.length * np.sqrt(often[i] @ often[i])), often[i], k) for i in range(len(queries))]
+        many = [i for i, hit in enumerate(hits) if len(hit) > max(k, FEW * self.n)]
+        if many:
+            added = often[many].astype(np.float32) @ self.matrix
+            for i, more in zip(many, added, strict=True):
+                hits[i] = self._reaching(sums[i], more, often[i], k)
+        return [self._nearest(sums[i], hit, often[i], k) for i, hit in enumerate(hits)]
+
+    def _postings(self, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the features that few vectors hold add to all cosines."""
         starts, n = self.starts[features], self.starts[features + 1] - self.starts[features]
         at = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
-        own = np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, n), self.n)
-        total = own + sums
-        hit = np.flatnonzero(total > 0)
-        if len(hit) > k:
-            # The product's rounding can't hide a neighbour; those that are near are added up again, the same way in any batch.
-            hit = np.flatnonzero((total > 0) & (total >= np.partition(total, self.n - k)[self.n - k] - 1e-5))
-        scores = np.round(own[hit] + np.add.reduce(self.matrix[np.ix_(places, hit)].astype(float) * dense[:, None], axis=0), 12)
-        best = np.lexsort((hit, -scores))[:k]
-        return hit[best], scores[best]
+        return np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, n), self.n)
+
+    def _complete(self, sums: np.ndarray, places: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """Exact cosines of some vectors."""
+        starts = self.own_starts[places]
+        n = self.own_starts[places + 1] - starts
+        at = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
+        added = np.bincount(np.repeat(np.arange(len(places)), n), self.own_weights[at] * often[self.own_slots[at]], len(places))
+        return np.round(sums[places] + added, 12)
+
+    def _reaching(self, sums: np.ndarray, at_most: np.ndarray, often: np.ndarray, k: int) -> np.ndarray:
+        """Vectors that may be among the k nearest: ``at_most`` bounds what is still to add, in single precision."""
+        most = sums + at_most
+        hit = most > 0
+        if self.n > k:
+            # The exact cosines of the k vectors of the largest bounds are a floor under the k-th best one.
+            likely = np.argpartition(most, self.n - k)[self.n - k :]
+            hit &= most >= self._complete(sums, likely, often).min() - SLACK
+        return np.flatnonzero(hit)
+
+    def _nearest(self, sums: np.ndarray, hit: np.ndarray, often: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        cosines, names = self._complete(sums, hit, often), self.name[hit]
+        best = np.lexsort((names, -cosines))[:k]
+        best = best[cosines[best] > 0]
+        return names[best], cosines[best]
 
 
 @dataclass
@@ -354,7 +417,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             entry[1][label] += 1
     del batch
     empty_score = (empty[1] + base) / (sum(empty) + 1)
-    keys = sorted(merged, key=lambda c: (len(merged[c][0]), merged[c][0], c))
+    keys = sorted(merged, key=lambda c: (len(merged[c][0]), merged[c][0], c))  # in the order of ids, by which ties go
     starts = np.concatenate([[0], np.cumsum([len(c[0]) // 4 for c in keys], dtype=np.int64)]).astype(np.int64)
     ids, weights = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.float32)
     for i, c in enumerate(keys):
@@ -385,9 +448,9 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
             tokens, known = _Tokens(model.vocabulary), {}
             for batch in batches:
                 scores, evidence = [], []
-                packed = [np.array(sorted(tokens.count(text).items()), "<i4").reshape(-1, 2).T.tobytes() for text in _texts(batch, text_col)]
+                packed = [tokens.packed(text).tobytes() for text in _texts(batch, text_col)]
                 names = [hashlib.blake2b(p, digest_size=16).digest() for p in packed]
-                if len(known) > CACHE // 10:
+                if len(known) > CACHE // 4:
                     known.clear()
                 new = {n: p for n, p in zip(names, packed, strict=True) if n not in known}
                 known.update(zip(new, model.score_all(list(new.values()), steps, levels), strict=True))
