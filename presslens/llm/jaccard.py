@@ -7,12 +7,14 @@ the first n - ceil(t * n) + k of each. Every document chooses its own k: a longe
 prefix where the estimated candidates of a short one would cost more, and a pair
 must then share min(k1, k2) prefix shingles before it is verified exactly.
 
-Documents with equal word sequences are one class from the start. Classes that
-share a prefix shingle meet under a hub (the class of the most common prefix
-among them); classes that hang together over few hubs are compared at once, and
-the members of a hub in a large part block by block (``GROUP`` each), so rows grow
-with members, not with pairs. A block pair returns a spanning forest of
-its verified links, which keeps all components without writing out all pairs.
+Documents with equal word sequences are one class from the start. First each class
+meets the hub with which it shares most prefix shingles (a hub is the class of the
+most common prefix among a shingle's holders), which joins nearly all near copies.
+Classes of different components that still share a prefix shingle come next: in
+small groups pair by pair, and only pairs that share shingles enough move on; in
+large ones block by block, without blocks that are one component already. Texts
+move only to verify what is left. Compared classes return a spanning forest of
+their links, which keeps all components without writing out all pairs.
 
 What happens in special cases:
 
@@ -20,7 +22,8 @@ What happens in special cases:
 * a text of fewer words than a shingle has its whole sequence as one shingle;
 * rows that share an id are separate nodes if their words differ; rows that are
   equal are one class;
-* component ids are the smallest ids of components; null ids count as missing;
+* component ids are the smallest ids of components; a null id is taken only
+  where no row has another;
 * other columns of the input are not carried; an empty table gives an empty
   result;
 * shingles and word sequences are compared by 64-bit hashes: two given ones
@@ -37,6 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presslens.llm.graph import Forest, components
 from presslens.shared import materialise
@@ -305,6 +309,25 @@ def candidate_pairs(small: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return counted.filter(enough).select(F.col("a").alias("hub"), F.col("b").alias("node"))
 
 
+def with_node(docs: DataFrame, id_col: str, text_col: str, once: bool = False) -> DataFrame:
+    """Rows with ``t_node``, null without words; ``once``: only rows with words, and a task returns rows of equal id and words once."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            nodes, kept = [], []
+            for row, text in zip(batch.column(id_col).to_pylist(), _bytes(batch.column(text_col)), strict=True):
+                words = split(text)
+                nodes.append(sequence_hash(words) if words else None)
+                if once:
+                    kept.append(bool(words) and (row, nodes[-1]) not in seen)
+                    seen.add((row, nodes[-1]))
+            named = pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, "t_node"])
+            yield named.filter(pa.array(kept, pa.bool_())) if once else named
+
+    return docs.mapInArrow(name, T.StructType([*docs.schema.fields, T.StructField("t_node", T.LongType())]))
+
+
 class Comparison:
     """Fetches the texts of nodes that meet, each by its row's id and word sequence, and verifies links among them."""
 
@@ -312,24 +335,6 @@ class Comparison:
         self.docs = docs.select(F.col(id_col).alias("t_id"), F.col(text_col).alias("text"))
         self.nodes, self.shared, self.size = nodes, shared, size
 
-    def texts(self) -> DataFrame:
-        """``t_id, t_node, text``; a task returns equal rows once."""
-
-        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set = set()
-            for batch in batches:
-                nodes, first = [], []
-                for row, text in zip(batch.column("t_id").to_pylist(), _bytes(batch.column("text")), strict=True):
-                    words = split(text)
-                    nodes.append(sequence_hash(words) if words else None)
-                    first.append(bool(words) and (row, nodes[-1]) not in seen)
-                    seen.add((row, nodes[-1]))
-                named = pa.RecordBatch.from_arrays([batch.column("t_id"), pa.array(nodes, pa.int64()), batch.column("text")], names=["t_id", "t_node", "text"])
-                yield named.filter(pa.array(first, pa.bool_()))
-
-        kind = self.docs.schema["t_id"].dataType.simpleString()
-        return self.docs.mapInArrow(name, f"t_id {kind}, t_node long, text string")
-
     def links(self, meetings: DataFrame) -> DataFrame:
         """``a, b``: verified links among the nodes that meet (part, low, high, node)."""
         shared, size = self.shared, self.size
@@ -351,18 +356,23 @@ class Comparison:
         wanted = materialise(meetings.join(self.nodes.select("node", F.col("doc_id").alias("w_id")), "node"), "jaccard-wanted")
         n = wanted.count()
         near = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
-        members = self.texts().join(near, (F.col("t_node") == F.col("node")) & F.col("t_id").eqNullSafe(F.col("w_id"))).select("part", "low", "high", "node", "text")
+        members = with_node(self.docs, "t_id", "text", once=True).join(near, (F.col("t_node") == F.col("node")) & F.col("t_id").eqNullSafe(F.col("w_id"))).select("part", "low", "high", "node", "text")
         return materialise(members.groupBy("part", "low", "high").applyInArrow(compare, "a long, b long"), "jaccard-links")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: documents linked by a Jaccard similarity of at least ``percent`` / 100."""
+def bounded(table: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is small enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``doc_id, n, node, rep, component_id, keeper`` of every row: of its class the smallest id, of its component the smallest id, and whether the class is the component's first."""
     shared = docs.sparkSession.sparkContext.broadcast((*count_sketch(docs, text_col, words), percent))
     signed = materialise(signatures(docs, shared, id_col, text_col, words).withColumn("row", F.monotonically_increasing_id()), "jaccard-signatures")
     # The row of the smallest id speaks for its class.
-    first = signed.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"))
+    first = signed.filter("n > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"))
     first = materialise(first.select(F.col("node").alias("c_node"), F.col("first.doc_id").alias("rep"), F.col("first.row").alias("c_row")), "jaccard-classes")
-    near = F.broadcast(first) if first.count() <= BROADCAST_IDS else first
+    near = bounded(first)
     speakers = signed.join(near, (F.col("node") == F.col("c_node")) & (F.col("row") == F.col("c_row")))
     nodes = materialise(speakers.select("node", "doc_id", "n", "k", (F.size("cold") + F.size("hot")).alias("prefix")), "jaccard-nodes")
     groups = materialise(token_groups(speakers), "jaccard-groups")
@@ -384,8 +394,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     found = components(links)
     moved = found.join(nodes.select("node", F.col("doc_id").alias("rep")), "node")
-    least = moved.groupBy("component").agg(F.min("rep").alias("component_id"))
-    moved = materialise(moved.join(least, "component").select(F.col("node").alias("m_node"), "component_id"), "jaccard-moved")
-    moved = F.broadcast(moved) if moved.count() <= BROADCAST_IDS else moved
+    least = moved.groupBy("component").agg(F.min(F.struct(F.col("rep").isNull().alias("last"), "rep", "node")).alias("least"))
+    moved = moved.join(least, "component").select(F.col("node").alias("m_node"), F.col("least.rep").alias("component_id"), (F.col("node") == F.col("least.node")).alias("keeper"))
+    moved = bounded(materialise(moved, "jaccard-moved"))
     named = signed.select("doc_id", "node", "n").join(near, F.col("node") == F.col("c_node"), "left").join(moved, F.col("node") == F.col("m_node"), "left")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
+    return named.select("doc_id", "n", "node", "rep", F.coalesce("component_id", "rep", "doc_id").alias("component_id"), F.coalesce("keeper", F.lit(True)).alias("keeper"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: documents linked by a Jaccard similarity of at least ``percent`` / 100."""
+    return grouped(docs, id_col, text_col, words, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: one of those of its smallest id (the first word sequence by hash if that id has several).
+
+    Rows without words are in no component and stay. Rows are told apart by id and
+    words, so of an id's unrelated texts each counts for itself.
+    """
+    rows = grouped(docs, id_col, text_col, words, percent).filter("n > 0")
+    first = F.col("doc_id").eqNullSafe(F.col("rep")) & F.col("keeper")
+    rows = rows.groupBy("doc_id", "node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("times"))
+    gone = bounded(materialise(rows.filter(~F.col("first") | (F.col("times") > 1)).select(F.col("doc_id").alias("g_id"), F.col("node").alias("g_node"), "first"), "jaccard-gone"))
+    this = F.col(id_col).eqNullSafe(F.col("g_id")) & (F.col("t_node") == F.col("g_node"))
+    named = with_node(docs, id_col, text_col)
+    kept = named.join(gone, this, "left_anti").drop("t_node")
+    repeated = gone.filter("first")
+    if repeated.isEmpty():
+        return kept
+    once = named.join(repeated, this).drop("g_id", "g_node", "first").groupBy("t_node", id_col).agg(*[F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")])
+    return kept.unionByName(once.select("row.*"))
