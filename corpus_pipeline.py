@@ -5,6 +5,18 @@ the classifier rejects; line dedup rewrites texts and drops those of which
 nothing is left; the Jaccard join keeps one document of each group; the mix
 repeats or drops documents by their source's rate; packing returns token pieces
 with their places in sequences.
+
+What happens in special cases:
+
+* null and empty texts score as texts without features, have no lines to remove
+  and link with nothing; the mix takes them as often as their source's rate says,
+  and packing gives them their end token;
+* rows that share an id are separate documents: toxicity and line dedup look at
+  each row's own text, the join keeps one row of equal id and words;
+* null ids stay null, also those of the copies that the mix emits;
+* null languages and lengths are passed on, a null source is one of its own;
+* only the columns of ``documents`` are carried, others are dropped;
+* an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -37,11 +49,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near-duplicates: five words, similarity 0.8."""
-    groups = jaccard.jaccard_components(docs)
-    copies = materialise(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-copies")
-    if copies.count() <= jaccard.BROADCAST_IDS:
-        copies = F.broadcast(copies)
-    return docs.join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    return jaccard.keep_one(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
