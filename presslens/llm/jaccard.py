@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.llm.graph import Forest, components
+from presslens.llm.memory import release_memory
 from presslens.shared import materialise
 
 WORDS = 5
@@ -65,7 +66,7 @@ COLUMNS = 4096
 #: So many rows of ids are sent to every executor (40 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Words whose hash a worker remembers; the memory starts again beyond it.
-CACHE = 300_000
+CACHE = 200_000
 
 
 class Shingler:
@@ -115,6 +116,7 @@ def count_sketch(docs: DataFrame, text_col: str, size: int) -> tuple[np.ndarray,
     width = 1 << RANGE_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         shingler, counts, seen = Shingler(size), np.zeros(1 << SKETCH_BITS, np.uint16), set()
         for batch in batches:
             for text in _bytes(batch.column(0)):
@@ -188,6 +190,7 @@ def signatures(docs: DataFrame, shared, id_col: str, text_col: str, size: int) -
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         shingler, orderer, none = Shingler(size), Orderer(*shared.value), np.empty(0, np.uint64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -313,6 +316,7 @@ def with_node(docs: DataFrame, id_col: str, text_col: str, once: bool = False) -
     """Rows with ``t_node``, null without words; ``once``: only rows with words, and a task returns rows of equal id and words once."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         seen: set = set()
         for batch in batches:
             nodes, kept = [], []

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presslens.llm.memory import release_memory
 from presslens.shared import materialise
 
 MAX_LEN = 1024
@@ -38,7 +39,7 @@ END_ID = 0
 #: Pieces of one length are ranked in so many groups, so that a frequent length is no single task.
 SALTS = 64
 #: Chunks whose ids a worker remembers; the memory starts again beyond it.
-CACHE = 1_000_000
+CACHE = 300_000
 PUNCTUATION = ".,;:!?"
 #: Chunks on which both libraries must agree before the faster one fills the memory.
 SAMPLES = (" tokenization", "Straße,", " éèàçü", " 12345.67", "don't", " \u4e2d\u6587\u5b57", " \u0440\u0443\u0441\u0441\u043a\u0438\u0439", "!!!???", " \U0001f600\u200d", "\u0e44\u0e17\u0e22", " unbelievableness", "_x9_", "\u00ad\u0301")
@@ -135,6 +136,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, max_len: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    release_memory()
     encode, end, width = encoder(path).encode, np.array([end_id], "<u4").tobytes(), 4 * max_len
     for batch in batches:
         rows, start, length, crc, tokens = [], [], [], [], []

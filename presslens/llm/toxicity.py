@@ -42,14 +42,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presslens.llm.memory import release_memory
 from presslens.shared import materialise
 
-MAX_EXAMPLES = 8_000
+MAX_EXAMPLES = 4_000
 K = 15
 LEAST_DF = 2
 THRESHOLD = 0.3
 #: Queries that are compared together.
-TOGETHER = 128
+TOGETHER = 32
 #: More than what rounding to single precision takes from a cosine.
 SLACK = 1e-5
 #: Vectors in a block, and the share of the vectors from which a feature is held by many.
@@ -58,8 +59,8 @@ MANY_SHARE = 0.1
 #: Where bounds leave more than this share of the vectors, all are added up in one product.
 FEW = 0.125
 PREFIX = 5
-#: Texts and their tokens that a worker remembers; the memory starts again beyond it.
-CACHE = 200_000
+#: Tokens whose features a task remembers, and texts whose scores.
+TOKENS, TEXTS = 150_000, 20_000
 ADDED = ("held_out", "score", "predicted", "evidence")
 
 
@@ -89,9 +90,8 @@ class _Tokens(dict):
     def __missing__(self, token: bytes) -> tuple:
         names = token_features(token)
         known = names if self.vocabulary is None else tuple(self.vocabulary[n] for n in names if n in self.vocabulary)
-        if len(self) > CACHE:
-            self.clear()
-        self[token] = known
+        if len(self) < TOKENS:
+            self[token] = known
         return known
 
     def count(self, text: bytes | None) -> Counter:
@@ -444,13 +444,14 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         shared, steps, levels = model.examples, model.steps, model.levels
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_memory()
             model = shared.value
             tokens, known = _Tokens(model.vocabulary), {}
             for batch in batches:
                 scores, evidence = [], []
                 packed = [tokens.packed(text).tobytes() for text in _texts(batch, text_col)]
                 names = [hashlib.blake2b(p, digest_size=16).digest() for p in packed]
-                if len(known) > CACHE // 4:
+                if len(known) > TEXTS:
                     known.clear()
                 new = {n: p for n, p in zip(names, packed, strict=True) if n not in known}
                 known.update(zip(new, model.score_all(list(new.values()), steps, levels), strict=True))
