@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from presslens.llm.memory import release_memory
 from presslens.shared import materialise
 
-MAX_EXAMPLES = 4_000
+MAX_EXAMPLES = 3_000
 K = 15
 LEAST_DF = 2
 THRESHOLD = 0.3
@@ -71,6 +71,8 @@ def held_out(key: Column) -> Column:
 def token_features(token: bytes) -> tuple[str, ...]:
     """A token's word without outer marks, and the start of a longer word."""
     word = token.decode("utf-8", "replace").lower()
+    if word.isalpha():
+        return (word,) if len(word) <= PREFIX else (word, word[:PREFIX] + "*")
     start, end = 0, len(word)
     while start < end and not word[start].isalpha():
         start += 1
@@ -244,7 +246,7 @@ class BlockMaxIndex:
         rows, features, weights = rows[~often], features[~often], weights[~often]
         order = np.argsort(features, kind="stable")
         self.rows, self.weights = rows[order], weights[order]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(features, minlength=self.n_features))])
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(features, minlength=self.n_features))]).astype(np.int64)
 
     def search(self, query: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the k nearest vectors, best first, ties by id; all that share a feature if they are fewer."""
@@ -275,8 +277,8 @@ class BlockMaxIndex:
     def _postings(self, features: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What the features that few vectors hold add to all cosines."""
         starts, n = self.starts[features], self.starts[features + 1] - self.starts[features]
-        at = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
-        return np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, n), self.n)
+        at = np.arange(n.sum(), dtype=np.int32) + np.repeat((starts - np.cumsum(n) + n).astype(np.int32), n)
+        return np.bincount(self.rows.take(at), self.weights.take(at) * np.repeat(weights, n), self.n)
 
     def _complete(self, sums: np.ndarray, places: np.ndarray, often: np.ndarray) -> np.ndarray:
         """Exact cosines of some vectors."""
