@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presslens.plans import feed, state  # noqa: F401  both register their queries
+from presslens.plans import desk, feed, state  # noqa: F401  all register their queries
 
 QUERIES: dict = dict(feed.QUERIES)
 ORACLE_SQL: dict = dict(feed.ORACLE_SQL)

@@ -156,7 +156,7 @@ def _without_early(text: Column, *, part: str) -> Column:
     """The text without ``part`` where that starts in the first 300 characters."""
     at = F.instr(text, part)
     rest = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + len(part), F.length(text)))
-    return F.when((at > 0) & (at <= 300), F.trim(rest)).otherwise(text)
+    return F.when((at > 0) & (at <= 300), F.btrim(rest, F.lit(" .,—-\n"))).otherwise(text)
 
 
 def strip_boilerplate(text: Column) -> Column:

@@ -9,18 +9,13 @@ from presslens.functions import text as X
 from presslens.functions import words as W
 
 HOUR = 3_600_000
-#: Whole lines of service text, over lower-case lines.
-JUNK_LINES = (
-    r"\s*(published|updated)\s+[a-z]{3}\s+\d{1,2},\s+\d{4}.*", r"\s*(опубликовано|обновлено)\s+\d{1,2}\s+\S+\s+\d{4}.*",
-    r".*(^|[^\p{L}\p{N}])(sign up now|newsletters? delivered to your inbox|subscribe to read|подпишитесь на (рассылку|нашу)|получайте новости на почту)($|[^\p{L}\p{N}]).*",
-    r"\s*photographer\s*:.*", r"\s*photo\s*:.*", r"\s*cr[ée]dito\s*,.*", r"\s*credit\s*:.*", r"\s*image (credit|source|caption)\s*:?.*", r"\s*getty images.*",
-    r"\s*read more\s*", r"\s*end of($|[^\p{L}\p{N}]).*", r"\s*подписывайтесь на наши соцсети.*", r"\s*при первом открытии приложения.*",
-)
 
 
 def drop_junk_lines(text: Column) -> Column:
-    pattern = "^(" + "|".join(JUNK_LINES) + ")$"
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line: ~F.lower(line).rlike(pattern))
+    """Texts without service lines, and without the two service phrases that stand inside lines."""
+    pattern = "^(" + "|".join(W.JUNK_LINES) + ")$"
+    within = F.regexp_replace(F.coalesce(text, F.lit("")), "(?iu)" + "|".join(W.JUNK_PHRASES), "")
+    lines = F.filter(F.split(within, "\n", -1), lambda line: ~F.lower(line).rlike(pattern))
     return F.trim(F.array_join(lines, "\n"))
 
 

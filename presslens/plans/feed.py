@@ -204,19 +204,19 @@ def fallback_half(spark, sf_dir):
     return select.fallback_half(_routed(spark, sf_dir), _score()).select("idx", "pool", "chunk")
 
 
-@query(_with(ITEMS_SQL) + """, blocks AS (SELECT idx % 40 AS story, idx // 40 AS pos, scope IN ('local', 'pool') AS own, "publishedAt", idx FROM items WHERE idx // 40 < 7),
+@query(_with(ITEMS_SQL) + """, blocks AS (SELECT idx // 7 AS story, idx % 7 AS pos, scope IN ('local', 'pool') AS own, "publishedAt", idx FROM items),
 firsts AS (SELECT story, coalesce(min(CASE WHEN own THEN {'t': "publishedAt", 'pos': pos} END), min({'t': "publishedAt", 'pos': pos})) AS f, min(CASE WHEN pos = 0 THEN "publishedAt" END) AS now FROM blocks GROUP BY story)
 SELECT idx, story, pos, pos = CASE WHEN now - f.t >= 900000 THEN f.pos ELSE 0 END AS lead FROM blocks JOIN firsts USING (story)""")
 def first_reporter(spark, sf_dir):
-    blocks = _items(spark, sf_dir).select("idx", (F.col("idx") % 40).alias("story"), F.expr("idx div 40").alias("pos"), F.col("scope").isin("local", "pool").alias("own"), "publishedAt").filter("pos < 7")
+    blocks = _items(spark, sf_dir).select("idx", F.expr("idx div 7").alias("story"), (F.col("idx") % 7).alias("pos"), F.col("scope").isin("local", "pool").alias("own"), "publishedAt")
     return select.first_reporter(blocks).select("idx", "story", "pos", "lead")
 
 
-@query(_with(ITEMS_SQL) + """, blocks AS (SELECT idx % 40 AS story, idx // 40 AS pos, scope FROM items WHERE idx // 40 < 7),
+@query(_with(ITEMS_SQL) + """, blocks AS (SELECT idx // 7 AS story, idx % 7 AS pos, scope FROM items),
 counts AS (SELECT story, scope, count(*) AS n, min(pos) AS first FROM blocks GROUP BY story, scope)
 SELECT story, scope FROM (SELECT *, row_number() OVER (PARTITION BY story ORDER BY n DESC, first) AS rn FROM counts) WHERE rn = 1""")
 def story_scope_mode(spark, sf_dir):
-    return memory.story_scope(_items(spark, sf_dir).select((F.col("idx") % 40).alias("story"), F.expr("idx div 40").alias("pos"), "scope").filter("pos < 7"))
+    return memory.story_scope(_items(spark, sf_dir).select(F.expr("idx div 7").alias("story"), (F.col("idx") % 7).alias("pos"), "scope"))
 
 
 TITLED = f", titled AS (SELECT idx, family, source, {WORDS} AS words, {NAMES} AS names FROM named)"
