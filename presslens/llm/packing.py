@@ -36,8 +36,8 @@ from presslens.shared import materialise
 
 MAX_LEN = 1024
 END_ID = 0
-#: Pieces of one length are ranked in so many groups, so that a frequent length is no single task.
-SALTS = 64
+#: Pieces of one length are ranked in groups of about so many, so that a frequent length is no single task.
+RANKED = 250_000
 #: Chunks whose ids a worker remembers; the memory starts again beyond it.
 CACHE = 300_000
 PUNCTUATION = ".,;:!?"
@@ -204,25 +204,32 @@ def _slots(patterns: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]
 
 def pack(cut: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces."""
-    cut = materialise(cut, "pack-pieces").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)))
-    counts = cut.groupBy("length", "salt").count().collect()  # at most max_len * SALTS rows
-    histogram: dict[int, int] = defaultdict(int)
-    before: dict[tuple[int, int], int] = {}
-    for row in sorted(counts, key=lambda r: (r["length"], r["salt"])):
-        before[row["length"], row["salt"]] = histogram[row["length"]]
-        histogram[row["length"]] += row["count"]
-    slots = _slots(plan(histogram, max_len))
-    first = np.zeros((max_len + 1, SALTS), np.int64)
-    for (length, salt), n in before.items():
-        first[length, salt] = slots["first"][length] + n
-    shared = cut.sparkSession.sparkContext.broadcast((first, slots["starts"], slots["bases"], slots["offsets"]))
+    cut = materialise(cut, "pack-pieces")
+    found = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most max_len rows
+    groups = {length: -(-n // RANKED) for length, n in found.items()}
+    salts = F.broadcast(cut.sparkSession.createDataFrame(sorted(groups.items()), "g_length long, salts long"))
+    cut = cut.join(salts, F.col("length") == F.col("g_length")).drop("g_length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts"))).drop("salts")
+    slots = _slots(plan(found, max_len))
+    # A group's ranks follow those of the groups before it; groups of a length stand in a row.
+    place_of, first = np.zeros(max_len + 1, np.int64), np.zeros(sum(groups.values()), np.int64)
+    at = 0
+    for length in sorted(groups):
+        place_of[length] = at
+        at += groups[length]
+    counts = {(r["length"], r["salt"]): r["count"] for r in cut.groupBy("length", "salt").count().collect()}  # a row for RANKED pieces and length
+    for length, n in groups.items():
+        before = slots["first"][length]
+        for salt in range(n):
+            first[place_of[length] + salt] = before
+            before += counts.get((length, salt), 0)
+    shared = cut.sparkSession.sparkContext.broadcast((place_of, first, slots["starts"], slots["bases"], slots["offsets"]))
     ranked = cut.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32")).cast("long"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, starts, bases, offsets = shared.value
+        place_of, first, starts, bases, offsets = shared.value
         for batch in batches:
             length, salt, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "salt", "rank"))
-            at = first[length, salt] + rank - 1
+            at = first[place_of[length] + salt] + rank - 1
             slot = np.searchsorted(starts, at, "right") - 1
             columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(bases[slot] + at - starts[slot]), pa.array(offsets[slot])], names=[*names, "sequence_id", "offset"])

@@ -101,6 +101,7 @@ def test_packing_is_whole_and_gapless(spark, texts):
             assert offset == at
             at += length
         assert at <= 1024
+    assert sum(map(len, ids.values())) >= 0.98 * 1024 * (len(sequences) - 1)  # little padding
 
 
 def test_warc_round_trip(spark):
@@ -214,3 +215,61 @@ def test_permutation_moves_every_value():
     for size in (2, 3, 40, 105):
         moved = [pii.permute(i, size, "t") for i in range(size)]
         assert sorted(moved) == list(range(size)) and all(a != i for i, a in enumerate(moved))
+
+
+def test_toxicity_scores_equal_a_plain_version(spark):
+    """Weights, neighbours, votes and calibration again with dictionaries, on rows with ties and copies."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.choice([2, 3, 7])))
+    rows = [(i, " ".join([word() for _ in range(rng.randint(0, 12))] + (["zorkish"] if i % 9 == 0 else []))) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(300, None)]
+    label = {i: int(i % 9 == 0) for i, _ in rows if i % 2 == 0}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(list(label.items()), "doc_id long, toxic int"), k=5)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+
+    counts = {i: Counter(f for t in (x or "").encode().split() for f in toxicity.token_features(t)) for i, x in rows}
+    train = [i for i in label if zlib.crc32(str(i).encode()) % 4 != 2]
+    by = [Counter(f for i in train if label[i] == k for f in counts[i]) for k in (0, 1)]
+    total = [sum(label[i] == k for i in train) for k in (0, 1)]
+    weight = {}
+    for f in set(by[0] | by[1]):
+        a, b = by[1][f], by[0][f]
+        if a + b >= 2:
+            c, d = total[1] - a, total[0] - b
+            below = (a + b) * (c + d) * total[0] * total[1]
+            chi = len(train) * (a * d - b * c) ** 2 / below if below else 0
+            weight[f] = (math.log((len(rows) + 1) / (sum(f in x for x in counts.values()) + 1)) + 1) * (1 + math.log1p(chi))
+
+    def unit(i):
+        raw = {f: (1 + math.log(n)) * weight[f] for f, n in counts[i].items() if f in weight}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return frozenset((f, x / norm) for f, x in raw.items())
+
+    merged = defaultdict(list)
+    for i in train:
+        merged[unit(i)].append(i)
+    base = total[1] / len(train)
+    empty = merged.pop(frozenset(), [])
+    vectors_of = sorted(merged, key=lambda v: min((len(str(i)), str(i)) for i in merged[v]))
+
+    def vote(i, out=None):
+        q = dict(unit(i))
+        near = [(-round(sum(x * q.get(f, 0) for f, x in v), 7), n) for n, v in enumerate(vectors_of)]
+        near = [(c, n) for c, n in sorted(near)[:5] if c < 0]
+        sums = [0.0, 0.0]
+        for c, n in near:
+            for j in merged[vectors_of[n]]:
+                if j != out:
+                    sums[label[j]] += 1 / (1 + c + 0.05)
+        return (sums[1] + base) / (sum(sums) + 1)
+
+    left = sorted((vote(i, i), label[i]) for i in train if i not in empty)
+    steps, levels = toxicity.isotonic(np.array([v for v, _ in left]), np.array([y for _, y in left], float), np.ones(len(left)))
+    for i, _ in rows:
+        if not unit(i):
+            assert got[i] == pytest.approx((sum(label[j] for j in empty) + base) / (len(empty) + 1))
+        else:
+            v = vote(i)
+            near = {round(float(levels[np.searchsorted(steps, x, "right") - 1]), 6) for x in (v - 1e-4, v, v + 1e-4)}  # rounding next to a step
+            assert any(got[i] == pytest.approx(x, abs=0.02) for x in near)
