@@ -38,6 +38,8 @@ MAX_LEN = 1024
 END_ID = 0
 #: Pieces of one length are ranked in groups of about so many, so that a frequent length is no single task.
 RANKED = 250_000
+#: Groups of a length at least, so that copies of one length spread at any size.
+LEAST_GROUPS = 64
 #: Chunks whose ids a worker remembers; the memory starts again beyond it.
 CACHE = 300_000
 PUNCTUATION = ".,;:!?"
@@ -206,7 +208,7 @@ def pack(cut: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces."""
     cut = materialise(cut, "pack-pieces")
     found = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # at most max_len rows
-    groups = {length: -(-n // RANKED) for length, n in found.items()}
+    groups = {length: max(LEAST_GROUPS, -(-n // RANKED)) for length, n in found.items()}
     salts = F.broadcast(cut.sparkSession.createDataFrame(sorted(groups.items()), "g_length long, salts long"))
     cut = cut.join(salts, F.col("length") == F.col("g_length")).drop("g_length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts"))).drop("salts")
     slots = _slots(plan(found, max_len))
@@ -216,7 +218,7 @@ def pack(cut: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     for length in sorted(groups):
         place_of[length] = at
         at += groups[length]
-    counts = {(r["length"], r["salt"]): r["count"] for r in cut.groupBy("length", "salt").count().collect()}  # a row for RANKED pieces and length
+    counts = {(r["length"], r["salt"]): r["count"] for r in cut.groupBy("length", "salt").count().collect()}  # at most max_len * LEAST_GROUPS rows, and one for RANKED pieces
     for length, n in groups.items():
         before = slots["first"][length]
         for salt in range(n):

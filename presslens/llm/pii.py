@@ -53,7 +53,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KEY = "presslens-surrogates"
 #: Given names by script and gender; each list is permuted within itself.
 GIVEN = {
     ("latin", "f"): ("Alice", "Amelia", "Ana", "Anna", "Camille", "Carmen", "Charlotte", "Chloe", "Clara", "Elena", "Elizabeth", "Emily", "Emma", "Eva", "Greta", "Hannah", "Ines", "Isabel", "Jane", "Jennifer", "Julia", "Karin", "Laura", "Lena", "Linda", "Lucia", "Maria", "Marie", "Mary", "Monika", "Olivia", "Patricia", "Paula", "Petra", "Sabine", "Sarah", "Sofia", "Sophie", "Susan", "Teresa"),
@@ -93,7 +92,7 @@ def _round(key: str, tweak: str, i: int, value: int) -> int:
     return int.from_bytes(hmac.digest(key.encode(), f"{tweak}|{i}|{value}".encode(), "sha256"), "big")
 
 
-def permute(value: int, size: int, tweak: str, key: str = KEY) -> int:
+def permute(value: int, size: int, tweak: str, key: str) -> int:
     """A keyed permutation of 0 .. size - 1: Feistel over a product of two factors, walked until it falls inside."""
     if size < 2:
         return value
@@ -248,7 +247,7 @@ _MAKE = {"email": _email, "phone": _phone, "card": _card, "ip": _ip, "ssn": _ssn
 
 
 @lru_cache(100_000)
-def surrogate(kind: str, text: str, key: str = KEY) -> str:
+def surrogate(kind: str, text: str, key: str) -> str:
     return _MAKE[kind](text, key)
 
 
@@ -275,7 +274,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def anonymise(text: str | None, key: str = KEY) -> tuple[str | None, list[dict]]:
+def anonymise(text: str | None, key: str) -> tuple[str | None, list[dict]]:
     """The text with surrogates, and where they stand in it."""
     if not text:
         return text, []
@@ -291,7 +290,7 @@ def anonymise(text: str | None, key: str = KEY) -> tuple[str | None, list[dict]]
     return "".join([*parts, text[at:]]), entities
 
 
-def replace_entities(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
+def replace_entities(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """Replace entities in every whole text; adds ``entities`` (places in the new text) and ``n_entities``."""
     kept = docs.drop("entities", "n_entities")
     place = kept.columns.index(text_col)

@@ -10,6 +10,10 @@ from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, p
 from presslens.shared import materialise, table
 
 
+#: The key of op6_surrogates where the session sets no secret ``presslens.pii.key``: known to all, so for samples and tests only.
+SAMPLE_KEY = "sample"
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document, repeats counted."""
     planned = mixing.repetition_plan(table(spark, sf_dir, "documents"))
@@ -68,7 +72,7 @@ def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced; documents with a surrogate that isn't one to one would be marked."""
-    replaced = materialise(pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text")), "pii")
+    replaced = materialise(pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), spark.conf.get("presslens.pii.key", SAMPLE_KEY)), "pii")
     met = pii.collisions(replaced).select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))
     clash = replaced.select("doc_id", F.explode("entities").alias("e")).join(met, (F.col("e.kind") == F.col("k")) & (F.col("e.surrogate") == F.col("s")), "left_semi").select(F.col("doc_id").alias("c_id")).distinct()
     clash = materialise(clash, "pii-clash")

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, pii, queries, toxicity, vectors, warc
 from tests.conftest import SF
 
+KEY = "key of the tests"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, rank int"
 EDGES = [(1, None, "en", "a", 0, "x", 1), (2, "", "en", None, 0, "x", 1), (3, "one", None, "b", 3, "x", 1), (3, "one", None, "b", 3, "x", 1), (None, "one two", "en", "a", 7, None, None), (4, "word " * 40_000, "en", "a", None, "x", 1)]
 
@@ -160,13 +161,13 @@ def test_surrogates_keep_type_and_stay_distinct():
     texts = [f"mail u{i}@host{i % 7}.org or 4111 1111 1111 {1000 + i}, Dr. Anna Kovacs" for i in range(200)]
     seen = defaultdict(set)
     for text in texts:
-        new, entities = pii.anonymise(text)
+        new, entities = pii.anonymise(text, KEY)
         assert [e["kind"] for e in entities] == [k for k, _, _ in pii.find(text)]
         assert new != text and "Kovacs" not in new
         for e in entities:
             seen[e["kind"], e["surrogate"]].add(e["entity"])
     assert all(len(x) == 1 for x in seen.values())
-    assert pii.anonymise(None) == (None, []) and pii.anonymise("") == ("", [])
+    assert pii.anonymise(None, KEY) == (None, []) and pii.anonymise("", KEY) == ("", [])
 
 
 def test_edges_and_empty_tables(spark):
@@ -179,7 +180,7 @@ def test_edges_and_empty_tables(spark):
         assert jaccard.jaccard_components(frame).count() == n
         assert toxicity.score(frame, toxicity.fit(frame, labels)).count() == n
         assert classlm.score(frame, classlm.fit(frame)).count() == n
-        assert pii.replace_entities(frame).count() == n
+        assert pii.replace_entities(frame, KEY).count() == n
         assert mpeg.read_mpeg(mpeg.write_mpeg(frame)).count() == n
         cut = packing.pack(packing.pieces(frame, public_tokenizers.path("byte_bpe_50k.json")))
         assert cut.filter("start = 0").count() == n
@@ -206,14 +207,14 @@ def test_toxicity_compares_all_words(spark):
 
 @pytest.mark.parametrize("text", ["+33 1 23 45 67 89", "+49 (0)30 123456", "5552234567", "030/1234567", "Dr. O'Brien", "Anna McDonald", "Frau Şñß", "Dr. Παπαδόπουλος", "мир@example.org", "ñandú@example.org", "山田@example.org"])
 def test_entities_are_found_whole_and_change(text):
-    new, entities = pii.anonymise(f"x {text} y")
+    new, entities = pii.anonymise(f"x {text} y", KEY)
     assert [x[1:] for x in pii.find(f"x {text} y")] == [(2, 2 + len(text))] and len(entities) == 1
     assert new != f"x {text} y"
 
 
 def test_permutation_moves_every_value():
     for size in (2, 3, 40, 105):
-        moved = [pii.permute(i, size, "t") for i in range(size)]
+        moved = [pii.permute(i, size, "t", KEY) for i in range(size)]
         assert sorted(moved) == list(range(size)) and all(a != i for i, a in enumerate(moved))
 
 
