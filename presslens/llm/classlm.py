@@ -8,7 +8,10 @@ a relative frequency of at least ``ITEM_SHARE``, each alone, and all rarer words
 tied by their endings, so every word of the corpus belongs to a class and all
 bigrams of the training texts count. Both kinds of items are bounded by their
 definition (at most 1 / ``ITEM_SHARE`` words and ``ENDINGS`` groups), at any size of
-the input.
+the input. Then every word of at least ``WORD_SHARE`` and ``OWN_COUNT`` occurrences
+leaves its group for the class that the classes before and after it make likeliest;
+the table is counted anew, and the move stands if it raises the likelihood.
+Only words rarer than that keep their ending's class.
 
 Word counts are exact and cover all training texts. Words of a relative
 frequency of at least ``WORD_SHARE`` (at most 1 / ``WORD_SHARE`` words) travel with
@@ -47,6 +50,8 @@ ROUNDS = 8
 ITEM_SHARE = 5e-5
 WORD_SHARE = 1e-6
 ENDINGS = 1024
+#: Occurrences from which a word has enough neighbours to choose a class of its own.
+OWN_COUNT = 10
 #: Strength with which class transitions lean on class frequencies.
 LEAN = 10.0
 ADD = 0.1
@@ -139,6 +144,67 @@ def bigrams(training: DataFrame, shared) -> DataFrame:
     return training.select("text").mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
+def _kinds(code: np.ndarray, word_class: np.ndarray, item_class: np.ndarray) -> np.ndarray:
+    """Classes of word codes."""
+    return np.where(code >= 0, word_class[np.maximum(code, 0)], item_class[np.maximum(-1 - code, 0)])
+
+
+def _chains(batches: Iterator[pa.RecordBatch], coder: Coder, end: int) -> Iterator[np.ndarray]:
+    """Codes of some texts in a row; the end token of each stands before the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield np.array([end, *(coder[w] for text in _texts(batch.slice(at, 256)) for w in words(text))], np.int64)
+
+
+def contexts(training: DataFrame, shared, classes, n_classes: int) -> DataFrame:
+    """``code, cells, n`` of each word that may move: counts of classes before it, after it, and of its own repeats."""
+    width = 2 * n_classes + 1
+
+    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys // width), pa.array(keys % width), pa.array(n.astype(np.int64))], names=["code", "cell", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _, first_group, end = shared.value
+        word_class, item_class, free = classes.value
+        held, size = [], 0
+        for code in _chains(batches, Coder(frequent, first_group), end):
+            kind, moves = _kinds(code, word_class, item_class), (code >= 0) & free[np.maximum(code, 0)]
+            again = code[:-1] == code[1:]
+            before, after = moves[1:] & ~again, moves[:-1]
+            held.append(code[1:][before] * width + kind[:-1][before])
+            held.append(code[:-1][after] * width + np.where(again, 2 * n_classes, n_classes + kind[1:])[after])
+            size += len(held[-1]) + len(held[-2])
+            if size > 4 * HOLD:
+                yield emit(held)
+                held, size = [], 0
+        yield emit(held)
+
+    # Tasks have combined their counts; words that move are no hot keys, as none reaches ITEM_SHARE.
+    cells = training.select("text").mapInArrow(count, "code long, cell long, n long").repartition("code").groupBy("code", "cell").agg(F.sum("n").alias("n"))
+    return cells.groupBy("code").agg(F.collect_list(F.struct("cell", "n")).alias("x")).select("code", F.col("x.cell").alias("cells"), F.col("x.n").alias("n"))
+
+
+def own_classes(around: DataFrame, classes, table: np.ndarray) -> pa.Table:
+    """``code, to`` of the words that leave their group's class: at most one row for each of the bounded words."""
+    n_classes, sent = len(table), around.sparkSession.sparkContext.broadcast(table)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (word_class, _, _), table = classes.value, sent.value
+        for batch in batches:
+            codes, to = [], []
+            for code, cells, n in zip(batch.column("code").to_pylist(), batch.column("cells"), batch.column("n"), strict=True):
+                seen = np.zeros(2 * n_classes + 1)
+                seen[cells.values.to_numpy()] = n.values.to_numpy()
+                best = best_class(int(word_class[code]), seen[:n_classes], seen[n_classes:-1], seen[-1], table)
+                if best != word_class[code]:
+                    codes.append(code)
+                    to.append(best)
+            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(to, pa.int64())], names=["code", "to"])
+
+    return around.mapInArrow(move, "code long, to long").toArrow()
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
@@ -154,13 +220,37 @@ def best_class(now: int, left: np.ndarray, right: np.ndarray, twice: float, tabl
     gain = (_xlogx(h + right[None, :]) - f).sum(axis=1) - (_xlogx(diagonal + right) - _xlogx(diagonal))
     gain += (_xlogx(h + left[:, None]) - f).sum(axis=0) - (_xlogx(diagonal + left) - _xlogx(diagonal))
     gain += _xlogx(diagonal + left + right + twice) - _xlogx(diagonal)
-    before, after = h.sum(axis=1), h.sum(axis=0)
+    before, after = h.sum(axis=1) + left, h.sum(axis=0) + right  # neighbours keep these counts wherever the item goes
     gain -= _xlogx(before + right.sum() + twice) - _xlogx(before)
     gain -= _xlogx(after + left.sum() + twice) - _xlogx(after)
     best = int(np.argmax(gain))
     return best if gain[best] > gain[now] + 1e-6 * abs(gain[now]) else now
 
 
+def _summed(cells: DataFrame, n_classes: int) -> np.ndarray:
+    """The table of which tasks sent their cells."""
+    out = np.zeros(n_classes * n_classes, np.int64)
+    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[row["cell"]] = row["n"]
+    return out.reshape(n_classes, n_classes)
+
+
+def word_table(training: DataFrame, shared, classes, n_classes: int) -> np.ndarray:
+    """Counts of class bigrams where words have classes of their own, from the texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _, first_group, end = shared.value
+        word_class, item_class, _ = classes.value
+        sums = np.zeros(n_classes * n_classes, np.int64)
+        for code in _chains(batches, Coder(frequent, first_group), end):
+            kind = _kinds(code, word_class, item_class)
+            sums += np.bincount(kind[:-1] * n_classes + kind[1:], minlength=n_classes * n_classes)
+        cells = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], names=["cell", "n"])
+
+    return _summed(training.select("text").mapInArrow(count, "cell long, n long"), n_classes)
+
+
 def class_table(around: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
     """Counts of class bigrams; tasks send one small table each, summed by cell."""
     shared = around.sparkSession.sparkContext.broadcast(classes)
@@ -174,10 +264,7 @@ def class_table(around: DataFrame, classes: np.ndarray, n_classes: int) -> np.nd
         cells = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums.ravel()[cells])], names=["cell", "n"])
 
-    out = np.zeros(n_classes * n_classes, np.int64)
-    for row in around.select("item", "after", "after_n").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        out[row["cell"]] = row["n"]
-    return out.reshape(n_classes, n_classes)
+    return _summed(around.select("item", "after", "after_n").mapInArrow(count, "cell long, n long"), n_classes)
 
 
 def likelihood(table: np.ndarray) -> float:
@@ -269,27 +356,38 @@ def fit(training: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
     start[end_item] = 0
     item_class, table = exchange(around, start, n_classes, rounds, end_item)
 
-    # Tokens and words seen once of each item, from all counts.
-    def by_item(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, item_of, first_group, _ = shared.value
-        coder, sums = Coder(frequent, first_group), np.zeros((first_group + ENDINGS, 2), np.int64)
+    # Words that are common enough for it leave the groups.
+    spark_context = training.sparkSession.sparkContext
+    word_class, free = item_class[item_of], ~alone & (n >= OWN_COUNT)
+    classes = spark_context.broadcast((word_class, item_class, free))
+    moved = own_classes(contexts(training, shared, classes, n_classes), classes, table)
+    own = word_class.copy()
+    own[moved["code"].to_numpy()] = moved["to"].to_numpy()
+    own_table = word_table(training, shared, spark_context.broadcast((own, item_class, free)), n_classes)
+    if likelihood(own_table) > likelihood(table):
+        word_class, table = own, own_table
+    classes = spark_context.broadcast((word_class, item_class, free))
+
+    # Tokens and words seen once of each class, from all counts.
+    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _, first_group, _ = shared.value
+        word_class, item_class, _ = classes.value
+        coder, sums = Coder(frequent, first_group), np.zeros((n_classes, 2), np.int64)
         for batch in batches:
             code = np.array([coder[w.as_py()] for w in batch.column("word")], np.int64)
-            items = np.where(code >= 0, item_of[np.maximum(code, 0)], -1 - code)
             times = batch.column("n").to_numpy()
-            np.add.at(sums, items, np.stack([times, times == 1], axis=1))
+            np.add.at(sums, _kinds(code, word_class, item_class), np.stack([times, times == 1], axis=1))
         some = np.flatnonzero(sums[:, 0])
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some, 0]), pa.array(sums[some, 1])], names=["item", "n", "once"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some, 0]), pa.array(sums[some, 1])], names=["class", "n", "once"])
 
     per_class = np.zeros((n_classes, 2))
-    for row in counts.select("word", "n").mapInArrow(by_item, "item long, n long, once long").groupBy("item").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect():
-        per_class[item_class[row["item"]]] += (row["n"], row["once"])
+    for row in counts.select("word", "n").mapInArrow(by_class, "class long, n long, once long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect():
+        per_class[row["class"]] = (row["n"], row["once"])
     tokens, once = per_class.T
     unknown = (once + ADD) / (tokens + once + 2 * ADD)
     share = (tokens + ADD) / (n_tokens + ADD * n_classes)
     steps = (table + LEAN * share[None, :]) / (table.sum(axis=1, keepdims=True) + LEAN)
     known_log = np.log10(1 - unknown) - np.log10(np.maximum(tokens, 1))
-    word_class = item_class[item_of]
     base_total = math.log10(n_tokens + ADD * (n_types + 1))
     return Model(
         frequent, first_group, end, item_class, word_class, np.log10(n) + known_log[word_class], np.log10(n + ADD) - base_total, np.log10(steps), known_log, np.log10(unknown), n_tokens, base_total,
@@ -317,7 +415,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                     tokens = words(text)
                     code = np.array([*map(coder.__getitem__, tokens)], np.int64)
                     known, rare = code[code >= 0], np.flatnonzero(code < 0)
-                    kind = np.where(code >= 0, word_class[np.maximum(code, 0)], item_class[np.maximum(-1 - code, 0)])
+                    kind = _kinds(code, word_class, item_class)
                     steps = step_log[np.concatenate([[word_class[end]], kind[:-1]]), kind].sum()
                     rows.append((len(tokens), len(known), word_base[known].sum(), steps + word_log[known].sum()))
                     hashes.append([word_hash(tokens[i]) for i in rare.tolist()])
