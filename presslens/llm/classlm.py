@@ -9,8 +9,9 @@ tied by their endings, so every word of the corpus belongs to a class and all
 bigrams of the training texts count. Both kinds of items are bounded by their
 definition (at most 1 / ``ITEM_SHARE`` words and ``ENDINGS`` groups), at any size of
 the input. Then every word of at least ``WORD_SHARE`` and ``OWN_COUNT`` occurrences
-leaves its group for the class that the classes before and after it make likeliest;
-the table is counted anew, and the move stands if it raises the likelihood.
+leaves its group for the class that the classes before and after it make likeliest,
+in ``WORD_ROUNDS`` rounds in which all of them move at once; the table is counted
+anew after each, and its moves stand if they raise the likelihood.
 Only words rarer than that keep their ending's class.
 
 Word counts are exact and cover all training texts. Words of a relative
@@ -52,6 +53,7 @@ WORD_SHARE = 1e-6
 ENDINGS = 1024
 #: Occurrences from which a word has enough neighbours to choose a class of its own.
 OWN_COUNT = 10
+WORD_ROUNDS = 2
 #: Strength with which class transitions lean on class frequencies.
 LEAN = 10.0
 ADD = 0.1
@@ -359,12 +361,14 @@ def fit(training: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
     # Words that are common enough for it leave the groups.
     spark_context = training.sparkSession.sparkContext
     word_class, free = item_class[item_of], ~alone & (n >= OWN_COUNT)
-    classes = spark_context.broadcast((word_class, item_class, free))
-    moved = own_classes(contexts(training, shared, classes, n_classes), classes, table)
-    own = word_class.copy()
-    own[moved["code"].to_numpy()] = moved["to"].to_numpy()
-    own_table = word_table(training, shared, spark_context.broadcast((own, item_class, free)), n_classes)
-    if likelihood(own_table) > likelihood(table):
+    for _ in range(WORD_ROUNDS):
+        classes = spark_context.broadcast((word_class, item_class, free))
+        moved = own_classes(contexts(training, shared, classes, n_classes), classes, table)
+        own = word_class.copy()
+        own[moved["code"].to_numpy()] = moved["to"].to_numpy()
+        own_table = word_table(training, shared, spark_context.broadcast((own, item_class, free)), n_classes)
+        if likelihood(own_table) <= likelihood(table):
+            break
         word_class, table = own, own_table
     classes = spark_context.broadcast((word_class, item_class, free))
 
