@@ -12,8 +12,9 @@ What happens in special cases:
 
 * null text is an empty payload of 64 zero bytes;
 * null media reads as a stream without frames (all counts 0, no payload);
-* junk between frames is counted and skipped, a last frame that is cut short
-  counts as junk, and free-format frames (no stated bitrate) are not frames;
+* junk between frames is counted and skipped: at the start and after lost sync a
+  frame needs a header of its version, layer and rate behind it (or the end of
+  the data); a last frame that is cut short counts as junk, and free-format frames (no stated bitrate) are not frames;
 * checksums of layers I and II are counted as unchecked;
 * equal payloads give equal media; repeated rows are treated alike;
 * other columns of the input stay, ``media`` and the result columns are added
@@ -80,6 +81,10 @@ class Header:
     samples: int
     side: int
 
+    def kin(self, other: Header | None) -> bool:
+        """Whether both belong to one stream: version, layer and rate."""
+        return other is not None and (self.version, self.layer, self.rate) == (other.version, other.layer, other.rate)
+
 
 @lru_cache(4096)
 def header(word: bytes) -> Header | None:
@@ -192,6 +197,22 @@ def _vbr(media: bytes, at: int, head: Header) -> tuple[str, int | None, int | No
     return None
 
 
+def _follows(media: bytes, pos: int, head: Header) -> bool:
+    """Whether behind the frame at ``pos`` another of its stream begins."""
+    return head.kin(header(media[pos + head.length : pos + head.length + 4]))
+
+
+def _starts_inside(media: bytes, pos: int, head: Header) -> bool:
+    """Whether two frames in a row begin within the bytes that the header at ``pos`` claims, so that it is junk."""
+    at = media.find(b"\xff", pos + 1, pos + head.length)
+    while at >= 0:
+        inner = header(media[at : at + 4])
+        if head.kin(inner) and _follows(media, at, inner):
+            return True
+        at = media.find(b"\xff", at + 1, pos + head.length)
+    return False
+
+
 def decode(media: bytes | None) -> Stream:
     """Parse MPEG audio bytes; ``payload`` holds the frames' ancillary bytes of streams that :func:`encode` wrote."""
     out, media = Stream(), media or b""
@@ -205,14 +226,20 @@ def decode(media: bytes | None) -> Stream:
         tags, pos = _tags(media, pos)
         out.tags |= tags
     ancillary, own = [], TAG in out.tags
+    last, synced = None, False
     while pos < end:
         head = header(media[pos : pos + 4])
         after = pos + head.length if head else 0
-        if head is None or after > end or not (after == end or header(media[after : after + 4])) and not out.offsets:
+        goes_on = head is not None and after <= end and (_follows(media, pos, head) or (after == end and (last is None or head.kin(last))))
+        if not goes_on and synced and head is not None and after <= end and head.kin(last):
+            goes_on = not _starts_inside(media, pos, head)
+        if not goes_on:
+            synced = False
             found = media.find(b"\xff", pos + 1, end)
             out.junk_bytes += (found if found > 0 else end) - pos
             pos = found if found > 0 else end
             continue
+        last, synced = head, True
         if not out.offsets and out.vbr is None and (table := _vbr(media, pos, head)):
             out.vbr, out.vbr_frames, out.vbr_bytes, out.vbr_toc = table
             out.rate = head.rate
