@@ -11,7 +11,9 @@ definition (at most 1 / ``ITEM_SHARE`` words and ``ENDINGS`` groups), at any siz
 the input. Then every word of at least ``WORD_SHARE`` and ``OWN_COUNT`` occurrences
 leaves its group for the class that the classes before and after it make likeliest,
 in ``WORD_ROUNDS`` rounds in which all of them move at once; the table is counted
-anew after each, and its moves stand if they raise the likelihood.
+anew after each, and its moves stand if they raise the likelihood. Texts are read
+for counts, once more for the codes of their words (a written table that all later
+counts read), and for scores.
 Only words rarer than that keep their ending's class.
 
 Word counts are exact and cover all training texts. Words of a relative
@@ -121,29 +123,49 @@ class Coder(dict):
         return code
 
 
-def bigrams(training: DataFrame, shared) -> DataFrame:
+def encoded(training: DataFrame, shared) -> DataFrame:
+    """``codes`` of every text: those of its tokens, as little-endian 32-bit integers."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _, first_group, _ = shared.value
+        coder = Coder(frequent, first_group)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                codes = [np.fromiter(map(coder.__getitem__, words(text)), "<i4").tobytes() for text in _texts(batch.slice(at, 256))]
+                yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["codes"])
+
+    return training.select("text").mapInArrow(encode, "codes binary")
+
+
+def _chains(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[np.ndarray]:
+    """Codes of some texts in a row; the end token of each stands before the next."""
+    before = np.array([end], "<i4").tobytes()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield np.frombuffer(before + b"".join(batch.column("codes").slice(at, 256).to_pylist()), "<i4").astype(np.int64)
+
+
+def bigrams(codes: DataFrame, shared) -> DataFrame:
     """``a, b, n``: bigrams of items, the end token standing before each text too."""
 
     def emit(held: list[np.ndarray], width: int) -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(codes // width), pa.array(codes % width), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+        pairs, n = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(pairs // width), pa.array(pairs % width), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, item_of, first_group, end = shared.value
-        coder, width = Coder(frequent, first_group), first_group + ENDINGS
+        _, item_of, first_group, end = shared.value
+        width = first_group + ENDINGS
         held, size = [], 0
-        for batch in batches:
-            for text in _texts(batch):
-                code = np.array([end, *map(coder.__getitem__, words(text))], np.int64)
-                items = np.where(code >= 0, item_of[np.maximum(code, 0)], -1 - code)
-                held.append(items[:-1] * width + items[1:])
-                size += len(items)
-                if size > 4 * HOLD:
-                    yield emit(held, width)
-                    held, size = [], 0
+        for code in _chains(batches, end):
+            items = np.where(code >= 0, item_of[np.maximum(code, 0)], -1 - code)
+            held.append(items[:-1] * width + items[1:])
+            size += len(items)
+            if size > 4 * HOLD:
+                yield emit(held, width)
+                held, size = [], 0
         yield emit(held, width)
 
-    return training.select("text").mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return codes.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _kinds(code: np.ndarray, word_class: np.ndarray, item_class: np.ndarray) -> np.ndarray:
@@ -151,14 +173,7 @@ def _kinds(code: np.ndarray, word_class: np.ndarray, item_class: np.ndarray) ->
     return np.where(code >= 0, word_class[np.maximum(code, 0)], item_class[np.maximum(-1 - code, 0)])
 
 
-def _chains(batches: Iterator[pa.RecordBatch], coder: Coder, end: int) -> Iterator[np.ndarray]:
-    """Codes of some texts in a row; the end token of each stands before the next."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            yield np.array([end, *(coder[w] for text in _texts(batch.slice(at, 256)) for w in words(text))], np.int64)
-
-
-def contexts(training: DataFrame, shared, classes, n_classes: int) -> DataFrame:
+def contexts(codes: DataFrame, shared, classes, n_classes: int) -> DataFrame:
     """``code, cells, n`` of each word that may move: counts of classes before it, after it, and of its own repeats."""
     width = 2 * n_classes + 1
 
@@ -167,10 +182,9 @@ def contexts(training: DataFrame, shared, classes, n_classes: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(keys // width), pa.array(keys % width), pa.array(n.astype(np.int64))], names=["code", "cell", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, _, first_group, end = shared.value
         word_class, item_class, free = classes.value
         held, size = [], 0
-        for code in _chains(batches, Coder(frequent, first_group), end):
+        for code in _chains(batches, shared.value[3]):
             kind, moves = _kinds(code, word_class, item_class), (code >= 0) & free[np.maximum(code, 0)]
             again = code[:-1] == code[1:]
             before, after = moves[1:] & ~again, moves[:-1]
@@ -183,7 +197,7 @@ def contexts(training: DataFrame, shared, classes, n_classes: int) -> DataFrame:
         yield emit(held)
 
     # Tasks have combined their counts; words that move are no hot keys, as none reaches ITEM_SHARE.
-    cells = training.select("text").mapInArrow(count, "code long, cell long, n long").repartition("code").groupBy("code", "cell").agg(F.sum("n").alias("n"))
+    cells = codes.mapInArrow(count, "code long, cell long, n long").repartition("code").groupBy("code", "cell").agg(F.sum("n").alias("n"))
     return cells.groupBy("code").agg(F.collect_list(F.struct("cell", "n")).alias("x")).select("code", F.col("x.cell").alias("cells"), F.col("x.n").alias("n"))
 
 
@@ -217,10 +231,11 @@ def best_class(now: int, left: np.ndarray, right: np.ndarray, twice: float, tabl
     h[now, :] -= right
     h[:, now] -= left
     h[now, now] -= twice
-    f = _xlogx(h)
     diagonal = np.diagonal(h)
-    gain = (_xlogx(h + right[None, :]) - f).sum(axis=1) - (_xlogx(diagonal + right) - _xlogx(diagonal))
-    gain += (_xlogx(h + left[:, None]) - f).sum(axis=0) - (_xlogx(diagonal + left) - _xlogx(diagonal))
+    some = np.flatnonzero(right)
+    gain = (_xlogx(h[:, some] + right[some]) - _xlogx(h[:, some])).sum(axis=1) - (_xlogx(diagonal + right) - _xlogx(diagonal))
+    some = np.flatnonzero(left)
+    gain += (_xlogx(h[some] + left[some, None]) - _xlogx(h[some])).sum(axis=0) - (_xlogx(diagonal + left) - _xlogx(diagonal))
     gain += _xlogx(diagonal + left + right + twice) - _xlogx(diagonal)
     before, after = h.sum(axis=1) + left, h.sum(axis=0) + right  # neighbours keep these counts wherever the item goes
     gain -= _xlogx(before + right.sum() + twice) - _xlogx(before)
@@ -237,20 +252,19 @@ def _summed(cells: DataFrame, n_classes: int) -> np.ndarray:
     return out.reshape(n_classes, n_classes)
 
 
-def word_table(training: DataFrame, shared, classes, n_classes: int) -> np.ndarray:
+def word_table(codes: DataFrame, shared, classes, n_classes: int) -> np.ndarray:
     """Counts of class bigrams where words have classes of their own, from the texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, _, first_group, end = shared.value
         word_class, item_class, _ = classes.value
         sums = np.zeros(n_classes * n_classes, np.int64)
-        for code in _chains(batches, Coder(frequent, first_group), end):
+        for code in _chains(batches, shared.value[3]):
             kind = _kinds(code, word_class, item_class)
             sums += np.bincount(kind[:-1] * n_classes + kind[1:], minlength=n_classes * n_classes)
         cells = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], names=["cell", "n"])
 
-    return _summed(training.select("text").mapInArrow(count, "cell long, n long"), n_classes)
+    return _summed(codes.mapInArrow(count, "cell long, n long"), n_classes)
 
 
 def class_table(around: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
@@ -346,7 +360,8 @@ def fit(training: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
     item_of[alone] = np.arange(first_group)
     item_of[~alone] = [first_group + ending(frequent[i]) for i in np.flatnonzero(~alone)]
     shared = training.sparkSession.sparkContext.broadcast((frequent, item_of, first_group, end))
-    pairs = materialise(bigrams(training, shared), "lm-bigrams")
+    codes = materialise(encoded(training, shared), "lm-codes")
+    pairs = materialise(bigrams(codes, shared), "lm-bigrams")
     gathered = lambda key, other: pairs.groupBy(F.col(key).alias("item")).agg(F.collect_list(F.struct(F.col(other).alias("o"), "n")).alias("x"))  # noqa: E731  at most one entry for each item
     after = gathered("a", "b").select("item", F.col("x.o").alias("after"), F.col("x.n").alias("after_n"))
     before = gathered("b", "a").select("item", F.col("x.o").alias("before"), F.col("x.n").alias("before_n"))
@@ -363,10 +378,10 @@ def fit(training: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) ->
     word_class, free = item_class[item_of], ~alone & (n >= OWN_COUNT)
     for _ in range(WORD_ROUNDS):
         classes = spark_context.broadcast((word_class, item_class, free))
-        moved = own_classes(contexts(training, shared, classes, n_classes), classes, table)
+        moved = own_classes(contexts(codes, shared, classes, n_classes), classes, table)
         own = word_class.copy()
         own[moved["code"].to_numpy()] = moved["to"].to_numpy()
-        own_table = word_table(training, shared, spark_context.broadcast((own, item_class, free)), n_classes)
+        own_table = word_table(codes, shared, spark_context.broadcast((own, item_class, free)), n_classes)
         if likelihood(own_table) <= likelihood(table):
             break
         word_class, table = own, own_table
@@ -412,20 +427,25 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         frequent, first_group, end, item_class, word_class, word_log, word_base, step_log = shared.value
         coder = Coder(frequent, first_group)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                rows, hashes, kinds = [], [], []
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                tokens, sizes = [], []
                 for text in _texts(part):
-                    tokens = words(text)
-                    code = np.array([*map(coder.__getitem__, tokens)], np.int64)
-                    known, rare = code[code >= 0], np.flatnonzero(code < 0)
-                    kind = _kinds(code, word_class, item_class)
-                    steps = step_log[np.concatenate([[word_class[end]], kind[:-1]]), kind].sum()
-                    rows.append((len(tokens), len(known), word_base[known].sum(), steps + word_log[known].sum()))
-                    hashes.append([word_hash(tokens[i]) for i in rare.tolist()])
-                    kinds.append(kind[rare].tolist())
-                columns = [pa.array([r[k] for r in rows], pa.int64() if k < 2 else pa.float64()) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns, pa.array(hashes, pa.list_(pa.int64())), pa.array(kinds, pa.list_(pa.int8()))], names=["doc_id", "n_tokens", "n_frequent", "base", "logp", "hashes", "kinds"])
+                    found = words(text)
+                    tokens += found
+                    sizes.append(len(found))
+                code = np.fromiter(map(coder.__getitem__, tokens), np.int64, len(tokens))
+                starts = np.cumsum([0, *sizes[:-1]])
+                known, rare = code >= 0, np.flatnonzero(code < 0)
+                kind, place = _kinds(code, word_class, item_class), np.maximum(code, 0)
+                steps = step_log[np.concatenate([[word_class[end]], kind[:-1]]), kind]  # each text ends with the end token
+                per_text = lambda values: np.add.reduceat(values, starts)  # noqa: B023, E731
+                base, logp = per_text(np.where(known, word_base[place], 0.0)), per_text(steps + np.where(known, word_log[place], 0.0))
+                n_known = per_text(known.astype(np.int64))
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes - n_known)]), pa.int32())
+                hashes = pa.ListArray.from_arrays(ends, pa.array([word_hash(tokens[i]) for i in rare.tolist()], pa.int64()))
+                kinds = pa.ListArray.from_arrays(ends, pa.array(kind[rare], pa.int8()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(n_known), pa.array(base), pa.array(logp), hashes, kinds], names=["doc_id", "n_tokens", "n_frequent", "base", "logp", "hashes", "kinds"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     scored = source.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_frequent long, base double, logp double, hashes array<long>, kinds array<tinyint>")
