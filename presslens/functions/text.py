@@ -166,6 +166,19 @@ def strip_boilerplate(text: Column) -> Column:
     return strip_tail(out)
 
 
+def sentence_cut(text: Column, size: int = 1300) -> Column:
+    """At most ``size`` characters, up to the last end of a sentence past the 150th; a word of three letters stands before such an end. Null stays null."""
+    head = F.substring(text, 1, size)
+    whole = F.regexp_extract(head, r"(?s)^(.*[а-яёa-z]{3,}[.!?][\s\u00a0])", 1)
+    return F.when(F.length(text) <= size, text).when(F.length(whole) > 151, whole).otherwise(head)
+
+
+def sentences(text: Column) -> Column:
+    """Sentences without white space around them: an end follows two letters or digits, so initials don't count. Null and empty texts have none."""
+    parts = F.regexp_extract_all(F.concat(F.coalesce(text, F.lit("")), F.lit(" ")), F.lit(r"(?s)(.*?(?:[а-яёa-zà-ú\d]{2,}[.!?][\s\u00a0]+|\z))"), F.lit(1))
+    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^[\s\u00a0]+|[\s\u00a0]+$", "")), lambda x: x != "")
+
+
 def title_tail(title: Column) -> Column:
     """The title without its source's name, where at least 25 characters stay."""
     short = F.trim(F.regexp_replace(title, W.TITLE_TAIL, ""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from presslens.functions import text as X
 from presslens.operators import desk, memory, route, select
 from presslens.plans.feed import _items, _with, query
 from presslens.sources import items as S
@@ -155,3 +156,12 @@ def run_cost(spark, sf_dir):
     size, answer = F.length("text"), F.col("role") == "assistant"
     calls = table(spark, sf_dir, "conversations").select((F.col("conv_id") % 2 == 0).alias("main"), F.when(answer, 0).otherwise(size).alias("tokens_in"), F.when(answer, size).otherwise(0).alias("tokens_out"))
     return desk.run_cost(calls)
+
+
+@query(r"""SELECT doc_id, CASE WHEN length(text) <= 1300 THEN text WHEN length(whole) > 151 THEN whole ELSE left(text, 1300) END AS cut, len(parts)::INT AS n, parts[1] AS opening, parts[-1] AS closing
+FROM (SELECT doc_id, text, regexp_extract(left(text, 1300), '(?s)^(.*[а-яёa-z]{3,}[.!?][\s\x{a0}])', 1) AS whole,
+list_filter(list_transform(regexp_extract_all(coalesce(text, '') || ' ', '(?s)(.*?(?:[а-яёa-zà-ú\d]{2,}[.!?][\s\x{a0}]+|\z))', 1), lambda x: regexp_replace(x, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g')), lambda x: x <> '') AS parts FROM documents)""")
+def text_sentences(spark, sf_dir):
+    """Texts cut at a sentence, and how many sentences they hold, with the first and the last."""
+    parts = table(spark, sf_dir, "documents").select("doc_id", X.sentence_cut(F.col("text")).alias("cut"), X.sentences(F.col("text")).alias("parts"))
+    return parts.select("doc_id", "cut", F.size("parts").alias("n"), F.try_element_at("parts", F.lit(1)).alias("opening"), F.try_element_at("parts", F.lit(-1)).alias("closing"))

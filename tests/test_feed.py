@@ -43,3 +43,25 @@ def test_page_fields(spark):
     assert value(spark, S.page_text(html)) == long
     assert value(spark, S.page_photo(html)) == "https://x.example/a.jpg"
     assert value(spark, S.page_photo(F.lit(None).cast("string"))) is None
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (None, []),
+        ("", []),
+        ("no end", ["no end"]),
+        ("Один случай. Другой случай!  Без точки", ["Один случай.", "Другой случай!", "Без точки"]),
+        ("А. С. Пушкин родился в 1799. Он писал.", ["А. С. Пушкин родился в 1799.", "Он писал."]),
+    ],
+)
+def test_sentences(spark, text, want):
+    assert value(spark, X.sentences(F.lit(text).cast("string"))) == want
+
+
+def test_sentence_cut(spark):
+    long = "Слово за словом. " * 100
+    assert value(spark, X.sentence_cut(F.lit(long))) == long[: 1300 // 17 * 17]
+    assert value(spark, X.sentence_cut(F.lit("а" * 1400))) == "а" * 1300
+    assert value(spark, X.sentence_cut(F.lit("short. text"))) == "short. text"
+    assert value(spark, X.sentence_cut(F.lit(None).cast("string"))) is None
