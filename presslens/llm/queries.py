@@ -1,4 +1,4 @@
-"""The queries op1 to op10 over whole tables, and their SQL."""
+"""The queries op1 to op13 over whole tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import classlm, jaccard, line_dedup, mixing, mpeg, packing, pii, toxicity, vectors, warc
+from presslens.llm import ballcodes, classlm, jaccard, line_dedup, mixing, mpeg, packing, pii, toxicity, vectors, warc
 from presslens.shared import materialise, table
 
 
@@ -81,7 +81,14 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.join(clash, F.col("doc_id") == F.col("c_id"), "left").select("doc_id", "text", "n_entities", "entities", F.col("c_id").isNull().alias("distinct_surrogates"))
 
 
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's part codes after two rounds of k-means over metric trees, and its error."""
+    coded, books = ballcodes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(ballcodes.fingerprint(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
+    "op11_ball_codes": op11_ball_codes,
     "op6_surrogates": op6_surrogates,
     "op8_class_lm": op8_class_lm,
     "op5_vectors": op5_vectors,
@@ -94,7 +101,37 @@ QUERIES = {
     "op9_mpeg": op9_mpeg,
 }
 
+def _nearest(book: str) -> str:
+    """Parts with the entry of ``book`` nearest to each, and their squared distance."""
+    away = " + ".join(f"(p.x{k} - b.x{k}) * (p.x{k} - b.x{k})" for k in range(4))
+    return f"(SELECT vec_id, label, part, x0, x1, x2, x3, min({{'d': d, 'e': entry}}) AS best FROM (SELECT p.*, b.entry, {away} AS d FROM parts p JOIN {book} b USING (part)) GROUP BY ALL)"
+
+
+def _moved(book: str) -> str:
+    """``book`` after a round: floored means, unused entries as they are."""
+    means = ", ".join(f"coalesce(m{k}, b.x{k}) AS x{k}" for k in range(4))
+    sums = ", ".join(f"(sum(x{k}) // count(*) - CASE WHEN sum(x{k}) % count(*) < 0 THEN 1 ELSE 0 END)::BIGINT AS m{k}" for k in range(4))
+    return f"SELECT part, entry, {means} FROM {book} b LEFT JOIN (SELECT part, best.e AS entry, {sums} FROM {_nearest(book)} GROUP BY ALL) USING (part, entry)"
+
+
+_PARTS_SQL = ", ".join(f"v[4 * part + {k + 1}] AS x{k}" for k in range(4))
+
 ORACLE_SQL = {
+    "op11_ball_codes": f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS nth
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), parts AS (
+  SELECT vec_id, label, nth, part, {_PARTS_SQL} FROM kept, range(16) AS r(part)
+), book0 AS (SELECT part, nth AS entry, x0, x1, x2, x3 FROM parts WHERE nth < 64
+), book1 AS MATERIALIZED ({_moved("book0")}), book2 AS MATERIALIZED ({_moved("book1")}
+), coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM {_nearest("book2")} GROUP BY ALL
+), named AS (
+  SELECT sha256(string_agg(concat_ws(',', x0, x1, x2, x3), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, named
+""",
     "op1_mixing": r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents
