@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import ballcodes, classlm, jaccard, line_dedup, mixing, mpeg, packing, pii, toxicity, vectors, warc
+from presslens.llm import alignment, ballcodes, classlm, jaccard, licenses, line_dedup, mixing, mpeg, packing, pii, toxicity, vectors, warc
 from presslens.shared import materialise, table
 
 
@@ -87,7 +87,19 @@ def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(ballcodes.fingerprint(books)).alias("codebooks_sha256"))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases and notices."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned, with corpus-wide counts of the linked ids."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
+    "op13_alignment": op13_alignment,
+    "op12_licenses": op12_licenses,
     "op11_ball_codes": op11_ball_codes,
     "op6_surrogates": op6_surrogates,
     "op8_class_lm": op8_class_lm,
@@ -114,9 +126,53 @@ def _moved(book: str) -> str:
     return f"SELECT part, entry, {means} FROM {book} b LEFT JOIN (SELECT part, best.e AS entry, {sums} FROM {_nearest(book)} GROUP BY ALL) USING (part, entry)"
 
 
+def _sql_words(text: str) -> str:
+    return f"regexp_extract_all(translate({text}, '{licenses.UPPER}', '{licenses.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+_TEMPLATES_SQL = ", ".join("('{}', '{}', '{}')".format(label, kind, text.replace("'", "''")) for kind, some in (("phrase", licenses.PHRASES), ("notice", licenses.NOTICES)) for label, text in some)
+
 _PARTS_SQL = ", ".join(f"v[4 * part + {k + 1}] AS x{k}" for k in range(4))
 
 ORACLE_SQL = {
+    "op12_licenses": f"""
+WITH docs AS (
+  SELECT doc_id, {_sql_words("coalesce(text, '')")} AS w FROM documents
+), grams AS (
+  SELECT doc_id, p, array_to_string(w[p + 1 : p + 2], ' ') AS two, array_to_string(w[p + 1 : p + 3], ' ') AS three
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 1)) AS p FROM docs WHERE len(w) >= 2)
+), templates AS (
+  SELECT label, kind, w, len(w) AS n, CASE WHEN kind = 'phrase' THEN len(w) ELSE least(len(w), {licenses.GRAM}) END AS k
+  FROM (SELECT label, kind, {_sql_words("said")} AS w FROM (VALUES {_TEMPLATES_SQL}) AS t(label, kind, said))
+), positions AS (
+  SELECT label, kind, n, k, q, array_to_string(w[q + 1 : q + k], ' ') AS said FROM (SELECT *, unnest(range(n - k + 1)) AS q FROM templates)
+), hits AS (
+  SELECT doc_id, label, kind, n, k, p, q FROM grams JOIN positions ON three = said AND k = 3
+  UNION ALL SELECT doc_id, label, kind, n, k, p, q FROM grams JOIN positions ON two = said AND k = 2
+), voted AS (
+  SELECT doc_id, label, kind, n, k, p - q AS diagonal, list(DISTINCT q) AS met, min(p) AS first, max(p) AS last FROM hits GROUP BY ALL
+), places AS (
+  SELECT doc_id, label, diagonal AS start FROM voted WHERE kind = 'phrase' AND len(met) = n - k + 1
+), runs AS (
+  SELECT *, sum(apart) OVER (PARTITION BY doc_id, label ORDER BY diagonal) AS run
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, label ORDER BY diagonal) > {licenses.SLACK} THEN 1 ELSE 0 END AS apart FROM voted WHERE kind = 'notice')
+), sized AS (
+  SELECT *, len(list_distinct(flatten(list_transform(met, lambda q: range(q, q + k))))) AS alone FROM runs
+), merged AS (
+  SELECT doc_id, label, n, k, run, list_distinct(flatten(list(met))) AS met, max(alone) AS alone, min(first) AS start, max(last) + k AS stop FROM sized GROUP BY doc_id, label, n, k, run
+), found AS (
+  SELECT doc_id, label, greatest(alone, CASE WHEN (stop - start) * 2 <= n * 3 THEN len(list_distinct(flatten(list_transform(met, lambda q: range(q, q + k))))) ELSE 0 END) / n AS coverage FROM merged
+), every AS (
+  SELECT doc_id, label, start, 1.0 AS coverage FROM places UNION ALL SELECT doc_id, label, NULL, coverage FROM found WHERE coverage >= {licenses.LEAST}
+), per AS (
+  SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
+    coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE start IS NOT NULL)), ','), '') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(coverage)::DOUBLE AS score
+  FROM every GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM docs d LEFT JOIN per p ON d.doc_id = p.doc_id
+""",
     "op11_ball_codes": f"""
 WITH kept AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS nth
