@@ -153,7 +153,7 @@ def spans(voted: DataFrame, slack: int = SLACK, least: float = LEAST) -> DataFra
 def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every document."""
     phrase = F.col("kind") == "phrase"
-    found = spans(votes(docs, phrases, notices, id_col, text_col))
+    found = spans(materialise(votes(docs, phrases, notices, id_col, text_col), "license-votes"))  # read twice
     per = found.groupBy(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key")).agg(
         F.count_if(phrase).alias("n_base"),
         F.min(F.when(phrase, F.col("start"))).cast("long").alias("first_word"),
