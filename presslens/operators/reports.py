@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslens.functions import text as X
@@ -41,13 +41,21 @@ def _last_word(body: Column) -> Column:
     return F.element_at(F.concat(F.array(F.lit("")), X.tokens(F.lower(body))), -1)
 
 
+def _totals(counted: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Sums of counts by ``keys``, which are renamed after the sum."""
+    return counted.groupBy(*[F.col(k).alias(f"{name}_{k}") for k in keys]).agg(F.sum("c").alias(name))
+
+
 def audit_kinds(items: DataFrame) -> DataFrame:
     """``idx, kind``: a row for each fault of each item."""
     body, low, title = F.trim(F.coalesce("summary", F.lit(""))), F.lower(F.trim(F.coalesce("summary", F.lit("")))), F.lower("title")
     cut = (F.length(body) > 80) & (body.rlike("[:—,]$") | F.regexp_replace(_last_word(body), r"^\.+|\.+$", "").isin(*W.AUDIT_DANGLING))
-    logo = F.count(F.lit(1)).over(Window.partitionBy("pool", "imageUrl"))
-    mine, all_ = F.count(F.lit(1)).over(Window.partitionBy("pool", "source")), F.count(F.lit(1)).over(Window.partitionBy("pool"))
-    marked = items.withColumns({"logo_n": logo, "mine": mine, "all_n": all_})
+    counted = items.groupBy("pool", "source", "imageUrl").agg(F.count(F.lit(1)).alias("c"))
+    logos = _totals(counted, "logo_n", "pool", "imageUrl").filter("logo_n >= 3")
+    mine, all_ = _totals(counted, "mine", "pool", "source"), _totals(counted, "all_n", "pool")
+    hogs = mine.join(all_.withColumnRenamed("all_n_pool", "a_pool"), F.col("mine_pool").eqNullSafe(F.col("a_pool"))).filter(F.expr("mine > greatest(3, all_n div 5)"))
+    marked = items.join(logos, F.col("pool").eqNullSafe(F.col("logo_n_pool")) & F.col("imageUrl").eqNullSafe(F.col("logo_n_imageUrl")), "left")
+    marked = marked.join(hogs, F.col("pool").eqNullSafe(F.col("mine_pool")) & F.col("source").eqNullSafe(F.col("mine_source")), "left")
     kinds = F.array_compact(
         F.array(
             F.when(~F.coalesce("imageUrl", F.lit("")).startswith("http"), "no photo"),
@@ -58,8 +66,8 @@ def audit_kinds(items: DataFrame) -> DataFrame:
             F.when(F.length(body) < 60, "empty text"),
             F.when((F.length("title") > 25) & _start_repeated(25), "title in body"),
             F.when(cut, "cut short"),
-            F.when(F.col("imageUrl").startswith("http") & (F.col("logo_n") >= 3), "logo"),
-            F.when(F.expr("mine > greatest(3, all_n div 5)"), "publisher hog"),
+            F.when(F.col("imageUrl").startswith("http") & F.col("logo_n").isNotNull(), "logo"),
+            F.when(F.col("mine").isNotNull(), "publisher hog"),
         )
     )
     return marked.select("idx", "pool", F.explode(kinds).alias("kind"))

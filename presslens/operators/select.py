@@ -1,4 +1,11 @@
-"""Choosing rows: best of a group, caps, floors, budgets and top-k, all as window functions."""
+"""Choosing rows: best of a group, caps, floors, budgets and top-k.
+
+Ranks within a pool, of which there are a handful, don't come from windows over
+the pool: narrow rows are sorted by range into parts (a pool spreads over as many
+parts as its rows need), rows are numbered within their part, and what the parts
+before hold is added from a small table of counts. Texts are not sorted; they
+are joined again by (pool, idx).
+"""
 
 from __future__ import annotations
 
@@ -7,6 +14,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions import text as X
 from presslens.functions import words as W
+from presslens.shared import materialise
 
 HOUR = 3_600_000
 
@@ -71,17 +79,24 @@ def fetch_budget(items: DataFrame, budget: int, least: int = 400) -> DataFrame:
     return dedup_by(short).orderBy("idx").limit(budget)
 
 
-def rank_in_pool(items: DataFrame, worthy: Column | None = None) -> DataFrame:
-    """``rank`` by priority, then worth, then arrival."""
-    order = [F.desc("priority"), *([worthy.desc()] if worthy is not None else []), F.asc("idx")]
-    return items.withColumn("rank", F.row_number().over(Window.partitionBy("pool").orderBy(*order)))
+def in_order(rows: DataFrame, *order: Column) -> DataFrame:
+    """Narrow rows sorted by range over all parts; ``part`` and ``at`` say where a row came to stand.
+
+    Written to the shared folder, so that places stay as they are.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(placed.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "in-order")
 
 
-def family_cap(ranked: DataFrame) -> DataFrame:
-    """At most a fifth of a pool, and at least three, from one family, in rank order."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("pool"))
-    nth = F.row_number().over(Window.partitionBy("pool", "family").orderBy("rank"))
-    return ranked.withColumn("n", n).withColumn("nth", nth).filter(F.expr("nth <= greatest(3, n div 5)")).drop("n", "nth")
+def numbered(placed: DataFrame, name: str, *keys: str) -> DataFrame:
+    """``name``: each row's number among rows of equal keys, in the order of ``in_order``."""
+    counts = placed.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("c"))
+    before = counts.select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("part").alias("b_part"), F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    same = F.col("part") == F.col("b_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"b_{k}"))
+    here = placed.withColumn("here", F.row_number().over(Window.partitionBy("part", *keys).orderBy("at")))
+    return here.join(before, same).withColumn(name, F.col("before") + F.col("here")).drop("here", "before", "b_part", *[f"b_{k}" for k in keys])
 
 
 def feed_size() -> Column:
@@ -91,18 +106,41 @@ def feed_size() -> Column:
     return out
 
 
-def scope_floors(capped: DataFrame) -> DataFrame:
-    """Reserve each scope's floor of a pool's places, fill the rest by rank; ``place`` is the output order."""
-    size = feed_size()
-    floor = F.lit(0)
+def feed_places(items: DataFrame) -> DataFrame:
+    """``pool, idx, rank, reserved, place`` of the rows that make each pool's feed.
+
+    By priority, then arrival; of one family at most a fifth of the pool, and at
+    least three, in rank order; each scope's floor of places is reserved and the
+    rest filled by rank. ``place`` is the output order. At most 80 rows a pool.
+    """
+    narrow = items.select("pool", "idx", "family", "scope", "priority")
+    placed = in_order(narrow, F.col("pool"), F.desc("priority"), F.col("idx"))
+    sizes = placed.groupBy(F.col("pool").alias("s_pool")).agg(F.count(F.lit(1)).alias("n"))  # a row a pool
+    ranked = numbered(numbered(placed, "rank", "pool"), "nth", "pool", "family").join(sizes, F.col("pool") == F.col("s_pool"))
+    capped = ranked.filter(F.expr("nth <= greatest(3, n div 5)")).drop("n", "nth", "s_pool")
+    size, floor = feed_size(), F.lit(0)
     for scope, percent in W.FLOORS.items():
         floor = F.when(F.col("scope") == scope, F.floor(size * percent / 100)).otherwise(floor)
-    held = capped.withColumn("reserved", F.row_number().over(Window.partitionBy("pool", "scope").orderBy("rank")) <= floor)
-    total = F.sum(F.col("reserved").cast("int")).over(Window.partitionBy("pool"))
-    fill = F.row_number().over(Window.partitionBy("pool", "reserved").orderBy("rank"))
-    kept = held.withColumn("total", total).withColumn("fill", fill).filter(F.col("reserved") | (F.col("fill") <= size - F.col("total")))
+    held = materialise(numbered(capped, "nth", "pool", "scope").withColumn("reserved", F.coalesce(F.col("nth") <= floor, F.lit(False))).drop("nth"), "feed-held")
+    filled = numbered(held, "fill", "pool", "reserved")
+    total = held.filter("reserved").groupBy(F.col("pool").alias("t_pool")).agg(F.count(F.lit(1)).alias("total"))
+    kept = filled.join(total, F.col("pool") == F.col("t_pool"), "left").filter(F.col("reserved") | (F.col("fill") <= size - F.coalesce("total", F.lit(0))))
     shelf = F.when(~F.col("reserved"), 3).when(F.col("scope") == "local", 0).when(F.col("scope") == "pool", 1).otherwise(2)
-    return kept.withColumn("place", F.row_number().over(Window.partitionBy("pool").orderBy(shelf, "rank"))).drop("total", "fill")
+    place = F.row_number().over(Window.partitionBy("pool").orderBy(shelf, "rank"))  # over a feed's rows, at most 80
+    return kept.withColumn("place", place).select("pool", "idx", F.col("rank").cast("int").alias("rank"), "reserved", "place")
+
+
+def feed(items: DataFrame) -> DataFrame:
+    """The feed rows of every pool with their places; the places, a few hundred rows at most, go to the texts."""
+    places = feed_places(items).select(F.col("pool").alias("p_pool"), F.col("idx").alias("p_idx"), "rank", "reserved", "place")
+    return items.join(F.broadcast(places), (F.col("pool") == F.col("p_pool")) & (F.col("idx") == F.col("p_idx"))).drop("p_pool", "p_idx")
+
+
+def first_of(rows: DataFrame, key: str, most: int, *order: Column, salts: int = 64) -> DataFrame:
+    """The first ``most`` rows of each key, from the first of each of its salts."""
+    part = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    some = part.withColumn("rn", F.row_number().over(Window.partitionBy(key, "salt").orderBy(*order))).filter(F.col("rn") <= most)
+    return some.withColumn("rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rn") <= most).drop("rn", "salt")
 
 
 def cap_urgent(items: DataFrame, as_of_ms: int, keep: int = 2, hours: int = 3) -> DataFrame:
@@ -110,10 +148,10 @@ def cap_urgent(items: DataFrame, as_of_ms: int, keep: int = 2, hours: int = 3) -
     urgent = F.col("category").isin("URGENT", "URGENT_LOCAL_ONLY")
     able = urgent & ~F.lower("title").rlike(W.NEVER_URGENT) & (F.lit(as_of_ms) - F.col("publishedAt") <= hours * HOUR)
     near = F.when(F.col("scope") == "local", 0).when(F.col("scope") == "pool", 1).when(F.col("scope") == "world", 2).otherwise(3)
-    rank = F.row_number().over(Window.partitionBy("pool", "able").orderBy(near, F.desc("publishedAt"), "idx"))
-    marked = items.withColumn("able", able).withColumn("rank_u", rank)
-    category = F.when(urgent & ~(F.col("able") & (F.col("rank_u") <= keep)), "NEWS").otherwise(F.col("category"))
-    return marked.withColumn("category", category).drop("able", "rank_u")
+    fresh = items.filter(able).select("pool", "idx", near.alias("near"), "publishedAt")
+    stay = first_of(fresh, "pool", keep, F.col("near"), F.desc("publishedAt"), F.col("idx")).select(F.col("pool").alias("u_pool"), F.col("idx").alias("u_idx"))  # ``keep`` rows a pool
+    joined = items.join(F.broadcast(stay), (F.col("pool") == F.col("u_pool")) & (F.col("idx") == F.col("u_idx")), "left")
+    return joined.withColumn("category", F.when(urgent & F.col("u_idx").isNull(), "NEWS").otherwise(F.col("category"))).drop("u_pool", "u_idx")
 
 
 def first_reporter(blocks: DataFrame, minutes: int = 15) -> DataFrame:
@@ -127,11 +165,12 @@ def first_reporter(blocks: DataFrame, minutes: int = 15) -> DataFrame:
 
 
 def fallback_half(items: DataFrame, score: Column, chunk: int = 20) -> DataFrame:
-    """Of each chunk keep the better half by score, at least one; chunks follow arrival within a pool."""
-    placed = items.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("pool").orderBy("idx")) - 1) / chunk)).withColumn("score", score)
-    group = Window.partitionBy("pool", "chunk")
+    """``pool, idx, chunk, score``: of each chunk the better half by score, at least one; chunks follow arrival within a pool."""
+    narrow = items.select("pool", "idx", score.alias("score"))
+    placed = numbered(in_order(narrow, F.col("pool"), F.col("idx")), "nth", "pool").withColumn("chunk", F.floor((F.col("nth") - 1) / chunk))
+    group = Window.partitionBy("pool", "chunk")  # ``chunk`` rows
     ranked = placed.withColumn("n", F.count(F.lit(1)).over(group)).withColumn("rn", F.row_number().over(group.orderBy(F.desc("score"), "idx")))
-    return ranked.filter(F.expr("rn <= greatest(1, n div 2)")).drop("n", "rn")
+    return ranked.filter(F.expr("rn <= greatest(1, n div 2)")).select("pool", "idx", "chunk", "score")
 
 
 def posts(items: DataFrame, posted: DataFrame, pool: str, most: int = 5) -> DataFrame:
@@ -146,8 +185,8 @@ def posts(items: DataFrame, posted: DataFrame, pool: str, most: int = 5) -> Data
 def stations(rows: DataFrame, talk: tuple[str, ...], most_talk: int = 6, most_any: int = 20) -> DataFrame:
     """Per country the six most clicked talk stations on air, else the twenty most clicked of any kind."""
     live = rows.filter((F.col("lastcheckok") == 1) & (F.length("url") > 0)).withColumn("talk", X.any_of(F.lower(F.concat_ws(" ", "tags", "name")), talk))
-    some = F.max("talk").over(Window.partitionBy("country"))
-    rank = F.row_number().over(Window.partitionBy("country", "talk").orderBy(F.desc("clickcount"), "name", "url"))
-    overall = F.row_number().over(Window.partitionBy("country").orderBy(F.desc("clickcount"), "name", "url"))
-    marked = live.withColumns({"some": some, "r_talk": rank, "r_any": overall})
-    return marked.filter(F.when(F.col("some"), F.col("talk") & (F.col("r_talk") <= most_talk)).otherwise(F.col("r_any") <= most_any)).drop("some", "r_talk", "r_any")
+    order = [F.desc("clickcount"), F.col("name"), F.col("url")]
+    talks = first_of(live.filter("talk"), "country", most_talk, *order)
+    some = talks.select(F.col("country").alias("t_country")).distinct()  # a row a country
+    silent = live.join(some, F.col("country").eqNullSafe(F.col("t_country")), "left_anti")
+    return talks.unionByName(first_of(silent, "country", most_any, *order))

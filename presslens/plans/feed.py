@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,8 +76,7 @@ SELECT pool, idx, source, family, scope, priority, rank::INT AS rank, reserved,
 FROM filled WHERE reserved OR fill <= size - total""")
 def pool_feed(spark, sf_dir):
     """Routing, ranking, family cap and scope floors: the feed of every pool."""
-    feed = select.scope_floors(select.family_cap(select.rank_in_pool(_routed(spark, sf_dir))))
-    return feed.select("pool", "idx", "source", "family", "scope", "priority", "rank", "reserved", "place")
+    return select.feed(_routed(spark, sf_dir)).select("pool", "idx", "source", "family", "scope", "priority", "rank", "reserved", "place")
 
 
 @query(_with(ITEMS_SQL) + """SELECT idx, len(regexp_extract_all(summary, '[Ѐ-ӿ]')) AS cyrillic, len(regexp_extract_all(summary, '[A-Za-z]')) AS latin, len(regexp_extract_all(summary, '[A-Za-z]{4,}')) AS latin_words,
@@ -126,6 +127,14 @@ def needs_translation(spark, sf_dir):
     return _routed(spark, sf_dir).select("idx", "pool", X.needs_translation(F.col("language"), F.col("pool"), F.col("title"), F.col("summary")).alias("needs"))
 
 
+def _fixed(sql: str) -> str:
+    """SQL in which @NAME@ stands for a pattern, or a list of words, of ``words``."""
+    for name in set(re.findall("@([A-Z_]+)@", sql)):
+        value = getattr(W, name)
+        sql = sql.replace(f"@{name}@", value if isinstance(value, str) else ", ".join(f"'{w}'" for w in value))
+    return sql
+
+
 def _like(column: str, parts: tuple[str, ...]) -> str:
     return "(" + " OR ".join(f"contains({column}, '{p}')" for p in parts) + ")"
 
@@ -175,7 +184,7 @@ def twin_pick(spark, sf_dir):
     return select.drop_twins(_items(spark, sf_dir)).select("idx")
 
 
-@query(_with(ROUTED) + f""", marked AS (SELECT *, category = 'URGENT' AND NOT (regexp_matches(lower(title), '\\?|почему|зачем|^что известно|^что значит|определены цены|сколько стоит|прейскурант|цены на билеты|^(why|how|what)($|[^\\p{{L}}])|ticket prices|price list|^por qué|^cómo|precios de|^porque|^como|preços')) AND {AS_OF_MS} - "publishedAt" <= 10800000 AS able FROM routed),
+@query(_with(ROUTED) + f""", marked AS (SELECT *, category = 'URGENT' AND NOT regexp_matches(lower(title), '{W.NEVER_URGENT}') AND {AS_OF_MS} - "publishedAt" <= 10800000 AS able FROM routed),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY pool, able ORDER BY CASE scope WHEN 'local' THEN 0 WHEN 'pool' THEN 1 WHEN 'world' THEN 2 ELSE 3 END, "publishedAt" DESC, idx) AS rn FROM marked)
 SELECT idx, pool, CASE WHEN category = 'URGENT' AND NOT (able AND rn <= 2) THEN 'NEWS' ELSE category END AS category FROM ranked""")
 def urgent_cap(spark, sf_dir):
@@ -309,19 +318,19 @@ def source_category_cube(spark, sf_dir):
     return _items(spark, sf_dir).cube("source", "category").agg(F.count(F.lit(1)).alias("n"), F.grouping("source").cast("int").alias("g_source"), F.grouping("category").cast("int").alias("g_category"))
 
 
-@query(_with(ITEMS_SQL) + r""", marked AS (SELECT *, count(*) OVER (PARTITION BY language, "imageUrl") AS logo_n, count(*) OVER (PARTITION BY language, source) AS mine, count(*) OVER (PARTITION BY language) AS all_n, trim(summary) AS body, lower(trim(summary)) AS low FROM items),
+@query(_with(ITEMS_SQL) + _fixed(r""", marked AS (SELECT *, count(*) OVER (PARTITION BY language, "imageUrl") AS logo_n, count(*) OVER (PARTITION BY language, source) AS mine, count(*) OVER (PARTITION BY language) AS all_n, trim(summary) AS body, lower(trim(summary)) AS low FROM items),
 tail AS (SELECT *, lower(list_filter(string_split_regex(body, '[ \t\r\n]+'), lambda x: x <> '')[-1]) AS last_word FROM marked)
 SELECT idx, language AS pool, unnest(list_filter([
   CASE WHEN "imageUrl" NOT LIKE 'http%' THEN 'no photo' END,
-  CASE WHEN regexp_matches(low, 'data-[\p{L}\p{N}_-]+\s*=\s*"|/>|&[a-z]{2,6};|srcset=|<[a-z]+[\s>]') THEN 'markup' END,
-  CASE WHEN regexp_matches(low, '(opens in new window|as your preferred source|sign up now|leia mais em|read more at|подпишитесь|читайте также|автором материала является)') THEN 'service tail' END,
-  CASE WHEN regexp_matches(low, '^\s*(highlights of|watch:|лучшие моменты|обзор матча|melhores momentos|lo (más )?destacado|resumen del partido)') THEN 'video caption' END,
-  CASE WHEN regexp_matches(lower(title), 'прогноз погоды|текущая погода|current weather|weather in|аба ырайы|ауа райы|pronóstico del tiempo|previsão do tempo|гороскоп|horóscopo|wordle|strands|spangram|lottery results') THEN 'weather or horoscope' END,
+  CASE WHEN regexp_matches(low, '@AUDIT_MARKUP@') THEN 'markup' END,
+  CASE WHEN regexp_matches(low, '@AUDIT_SERVICE@') THEN 'service tail' END,
+  CASE WHEN regexp_matches(low, '@AUDIT_CAPTION@') THEN 'video caption' END,
+  CASE WHEN (regexp_matches(lower(title), '@AUDIT_WEATHER@') OR regexp_matches(lower(title), '@AUDIT_FILLER@')) THEN 'weather or horoscope' END,
   CASE WHEN length(body) < 60 THEN 'empty text' END,
   CASE WHEN length(title) > 25 AND starts_with(low, lower(left(trim(title), 25))) THEN 'title in body' END,
-  CASE WHEN length(body) > 80 AND (regexp_matches(body, '[:—,]$') OR regexp_replace(last_word, '^\.+|\.+$', '', 'g') IN ('и', 'а', 'но', 'или', 'с', 'в', 'на', 'по', 'для', 'and', 'or', 'the', 'of', 'in', 'to', 'for', 'with', 'de', 'da', 'do', 'e', 'y', 'que')) THEN 'cut short' END,
+  CASE WHEN length(body) > 80 AND (regexp_matches(body, '[:—,]$') OR regexp_replace(last_word, '^\.+|\.+$', '', 'g') IN (@AUDIT_DANGLING@)) THEN 'cut short' END,
   CASE WHEN "imageUrl" LIKE 'http%' AND logo_n >= 3 THEN 'logo' END,
-  CASE WHEN mine > greatest(3, all_n // 5) THEN 'publisher hog' END], lambda x: x IS NOT NULL)) AS kind FROM tail""")
+  CASE WHEN mine > greatest(3, all_n // 5) THEN 'publisher hog' END], lambda x: x IS NOT NULL)) AS kind FROM tail"""))
 def audit_kinds(spark, sf_dir):
     return reports.audit_kinds(_items(spark, sf_dir).withColumn("pool", F.col("language")))
 
