@@ -44,6 +44,7 @@ import hashlib
 import heapq
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.llm.memory import release_memory
+from presslens.llm.packing import Encoder
 from presslens.shared import materialise
 
 #: Radices of B ids.
@@ -63,8 +65,8 @@ RUN = 1 << 20
 BLOCK = 1 << 14
 #: Records of a slice, about; a radix with more is sliced by runs.
 MERGED = 4_000_000
-#: Bytes of chunks that a worker remembers, about; the memory starts again beyond it.
-CACHE_BYTES = 96 << 20
+#: Bytes of chunks that a worker remembers, about.
+CACHE_BYTES = 192 << 20
 #: Documents, and characters, encoded at a time.
 AT_ONCE, AT_ONCE_CHARS = 256, 1 << 20
 ID_BITS = 24
@@ -89,48 +91,55 @@ class Side:
             self.a_bytes[i] = bytes(shown[c] for c in token) if all(c in shown for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in said], np.int64) for said in (self.a_bytes, self.b_bytes))
+        # Ids as text with each mark that may follow: 2 for A, then 3 for B.
+        self.b_marked = 3 * len(self.b_bytes)
+        self.marked = [f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"] + [f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in (",", ";", "\n")]
+        self.quick = Encoder(a_path).ranks
         # Chunks can be encoded apart if no piece goes across a space or line break.
         self.apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in pieces)
 
+    def a_ids(self, texts: list[str]) -> list[list[int]]:
+        if self.quick is not None:  # the same vocabulary in a faster library; both agree on samples
+            return [self.quick.encode_ordinary(t) for t in texts]
+        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """A ids of a space and each text, and B ids of each text."""
-        return [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        return self.a_ids([" " + t for t in texts]), self.b.encode(texts, num_threads=1)
 
     def encode_inner(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of texts that follow a line break."""
-        return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)], [ids[2:] for ids in self.b.encode(["\n" + t for t in texts], num_threads=1)]
+        return self.a_ids(texts), [ids[2:] for ids in self.b.encode(["\n" + t for t in texts], num_threads=1)]
 
 
-class Aligned:
-    """The tokens of a stretch of text: counts, groups as text, and the linked pairs."""
+#: Groups as text, linked keys, tokens of A and of B, groups.
+Aligned = tuple[str, np.ndarray, int, int, int]
 
-    __slots__ = ("groups", "keys", "n_a", "n_b", "n_groups")
 
-    def __init__(self, side: Side, whole: bytes, a: list[int], b: list[int]):
-        """Nothing is linked (``groups`` is None) if the bytes of either side aren't ``whole``."""
-        a_said, b_said = [side.a_bytes[i] for i in a], [side.b_bytes[i] for i in b]
-        self.groups, self.n_a, self.n_b = None, len(a), len(b)
-        if b"".join(a_said) != whole or b"".join(b_said) != whole:
-            return
-        out, keys = [], []
-        i = j = from_a = from_b = 0
-        end_a, end_b = len(a_said[0]), len(b_said[0])
-        while True:
-            if end_a == end_b:
-                keys.append((b[j] << ID_BITS) | a[i])
-                out.append(",".join(map(str, a[from_a : i + 1])) + "|" + ",".join(map(str, b[from_b : j + 1])))
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                from_a, from_b = i, j
-                end_a, end_b = end_a + len(a_said[i]), end_b + len(b_said[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(a_said[i])
-            else:
-                j += 1
-                end_b += len(b_said[j])
-        self.groups, self.n_groups, self.keys = ";".join(out), len(out), np.array(keys, np.int64)
+def aligned(side: Side, wholes: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[Aligned | None]:
+    """The tokens of stretches of text that both sides cover byte by byte; None for others.
+
+    All stretches are laid end to end, so ends of tokens are compared in one go.
+    """
+    good = [b"".join([side.a_bytes[i] for i in x]) == w == b"".join([side.b_bytes[i] for i in y]) for w, x, y in zip(wholes, a, b, strict=True)]
+    a, b = [x for x, g in zip(a, good, strict=True) if g], [y for y, g in zip(b, good, strict=True) if g]
+    if not a:
+        return [None] * len(wholes)
+    a_ids, b_ids = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+    a_ends, b_ends = np.cumsum(side.a_sizes[a_ids]), np.cumsum(side.b_sizes[b_ids])
+    a_cuts, b_cuts = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
+    keys = b_ids[b_cuts] << ID_BITS | a_ids[a_cuts]
+    a_last, b_last = np.cumsum([len(x) for x in a]) - 1, np.cumsum([len(y) for y in b]) - 1
+    # Tokens in the order of the text, each with the mark that follows it.
+    a_marks, b_marks = a_cuts.astype(np.int64), b_cuts.astype(np.int64)
+    b_marks[b_last] = 2
+    order = np.argsort(np.concatenate([2 * (np.cumsum(a_cuts) - a_cuts), 2 * (np.cumsum(b_cuts) - b_cuts) + 1]), kind="stable")
+    said = np.concatenate([2 * a_ids + a_marks, 3 * b_ids + b_marks + len(side.marked) - side.b_marked])[order]
+    groups = "".join([side.marked[k] for k in said.tolist()]).split("\n")
+    ends = np.cumsum(a_cuts)[a_last].tolist()
+    found = zip(groups, [keys[x:y].copy() for x, y in zip([0, *ends], ends, strict=False)], map(len, a), map(len, b), np.diff(ends, prepend=0).tolist(), strict=False)
+    return [next(found) if g else None for g in good]
 
 
 class Aligner:
@@ -138,7 +147,9 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.side = Side(a_path, b_path)
-        self.known: dict[str, Aligned] = {}
+        # Two generations: when the younger is full, the elder goes; chunks in use have moved to the younger by then.
+        self.known: dict[str, Aligned | None] = {}
+        self.elder: dict[str, Aligned | None] = {}
         self.held = 0
 
     def _learn(self, chunks: set[str]) -> None:
@@ -146,9 +157,12 @@ class Aligner:
         led = [c for c in chunks if c[0] == " "]
         inner = [c for c in chunks if c[0] != " "]
         for some, ids in ((led, self.side.encode([c[1:] for c in led])), (inner, self.side.encode_inner(inner))):
-            for chunk, a, b in zip(some, *ids, strict=True):
-                self.known[chunk] = found = Aligned(self.side, chunk.encode(), a, b)
-                self.held += 400 + 3 * len(chunk) + 20 * len(a) + 12 * len(b) + (len(found.groups) if found.groups else 0)
+            for chunk, found in zip(some, aligned(self.side, [c.encode() for c in some], *ids), strict=True):
+                self._hold(chunk, found)
+
+    def _hold(self, chunk: str, found: Aligned | None) -> None:
+        self.known[chunk] = found
+        self.held += 400 + 3 * len(chunk) + (len(found[0]) + 8 * found[4] if found else 0)
 
     def _cut(self, text: str) -> list[str] | None:
         """The chunks of a text, or None if it can't be cut."""
@@ -169,24 +183,25 @@ class Aligner:
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, digest, linked keys and their times, of each text."""
         cuts = [self._cut(t) if t else None for t in texts]
-        if self.held > CACHE_BYTES:
-            self.known.clear()
-            self.held = 0
-        self._learn({c for cut in cuts if cut for c in cut if c not in self.known})
+        if self.held > CACHE_BYTES / 2:
+            self.known, self.elder, self.held = {}, self.known, 0
+        new = set().union(*[c for c in cuts if c]).difference(self.known)
+        for chunk in new & self.elder.keys():
+            self._hold(chunk, self.elder[chunk])
+        self._learn(new.difference(self.known))
         for text, cut in zip(texts, cuts, strict=True):
             if not text:
                 parts = []
             elif cut is not None:
                 parts = [self.known[c] for c in cut]
             else:
-                (a,), (b,) = self.side.encode([text])
-                parts = [Aligned(self.side, (" " + text).encode(), a, b)]
-            if not parts or any(p.groups is None for p in parts):
+                parts = aligned(self.side, [(" " + text).encode()], *self.side.encode([text]))
+            if not parts or None in parts:
                 yield 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
                 continue
-            keys, times = np.unique(np.concatenate([p.keys for p in parts]), return_counts=True)
-            digest = hashlib.sha256(";".join([p.groups for p in parts]).encode()).hexdigest()
-            yield sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts), digest, keys, times
+            groups, keys, n_a, n_b, n_groups = zip(*parts, strict=True)
+            found, times = np.unique(np.concatenate(keys), return_counts=True)
+            yield sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(), found, times
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
