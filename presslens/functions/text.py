@@ -179,6 +179,42 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^[\s\u00a0]+|[\s\u00a0]+$", "")), lambda x: x != "")
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
+def _without_captions(parts: Column) -> Column:
+    """Sentences after the last of the first three that holds a credit; without one, after a short caption at the start. A text of captions only stays."""
+    credited = F.transform(F.slice(parts, 1, 3), lambda p, i: F.when(p.rlike(f"(?u){W.CREDIT}"), i + 1).otherwise(0))
+    last = F.aggregate(credited, F.lit(0), lambda a, b: F.greatest(a, b))
+    opening = F.get(parts, F.lit(0))
+    caption = (F.size(parts) > 1) & (F.length(opening) < 220) & opening.rlike(f"(?u){W.CAPTION_VERBS}")
+    cut = F.when(last > 0, last).when(caption, 1).otherwise(0)
+    return F.array_join(F.slice(parts, F.when(cut < F.size(parts), cut).otherwise(0) + 1, F.greatest(F.size(parts), F.lit(1))), " ")
+
+
+def _whole_end(text: Column) -> Column:
+    """A text that breaks off ends with its last whole sentence (past the 80th character); one that only lacks its full stop gets it."""
+    open_ = (text != "") & ~text.rlike("[.!?…»\"']$")
+    last = F.regexp_extract(text, r"([^\s\u00a0]+)$", 1)
+    hangs = (F.length(F.btrim(last, F.lit(".,"))) <= 2) | F.lower(last).isin(*W.HANGING)
+    whole = F.regexp_extract(F.concat(text, F.lit(" ")), r"(?s)^(.*[а-яёa-zà-ú]{3,}[.!?])[\s\u00a0]", 1)
+    return F.when(open_ & hangs & (F.length(whole) >= 80), whole).when(open_ & ~hangs, F.concat(text, F.lit("."))).otherwise(text)
+
+
+def polish(text: Column) -> Column:
+    """A body without date lines (up to three layers), credits, captions and teasers, that doesn't break off. Null and empty give ``''``."""
+    out = _stripped(F.coalesce(text, F.lit("")))
+    for _ in range(3):
+        for pattern in W.DATELINES:
+            out = F.regexp_replace(out, f"(?u){pattern}", "")
+        out = F.btrim(out, F.lit(" —-–·|"))
+    out = bound(sentences(F.regexp_replace(out, f"(?u){W.CHART_LINE}", "")), _without_captions)
+    out = _stripped(F.regexp_replace(out, r"[\s\u00a0]{2,}", " "))
+    out = _stripped(F.regexp_replace(out, f"(?u){W.TEASERS}", ""))
+    return _stripped(bound(out, _whole_end))
+
+
 def title_tail(title: Column) -> Column:
     """The title without its source's name, where at least 25 characters stay."""
     short = F.trim(F.regexp_replace(title, W.TITLE_TAIL, ""))
