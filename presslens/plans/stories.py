@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.functions import words as W
-from presslens.plans.feed import ROUTED, _routed, _with, query
+from presslens.operators import reviews as R
+from presslens.operators import select
+from presslens.plans.feed import NAMED, ROUTED, _named, _routed, _with, query
 from presslens.sources.items import AS_OF_MS
+from presslens.shared import materialise
 from presslens.streaming import stories as S
 
 HOUR = S.HOUR
@@ -63,3 +66,91 @@ FROM lives WHERE len(list_distinct(list_transform(blocks, lambda b: b.source)))
 def streamed_stories(spark, sf_dir):
     """The stories of all reports, replayed in three runs of a stream that keeps them in its state."""
     return S.replay(reports(spark, sf_dir))
+
+
+STEMS = "list_distinct(list_transform(list_filter(regexp_extract_all(lower({0}), '[а-яёa-zà-ú]{{4,}}'), lambda w: w NOT IN ({1})), lambda w: left(w, {2})))"
+_FIT = lambda text: STEMS.format(text, ", ".join(f"'{w}'" for w in W.STORY_STOP), 5)
+_TITLE4 = "list_distinct(list_transform(regexp_extract_all(lower(title), '[а-яёa-zà-ú]{4,}'), lambda w: left(w, 4)))"
+
+
+def _as_stories(spark, sf_dir) -> DataFrame:
+    """Documents as stories: their addresses are the sentences they open with, which copies share."""
+    opening = F.slice(F.filter(F.split(F.substring("summary", 1, 300), r"[.!?]", -1), lambda s: F.length(s) > 20), 1, 3)
+    return _named(spark, sf_dir).select(F.col("idx").alias("id"), "title", opening.alias("urls"))
+
+
+@query(_with(NAMED) + f""", stories AS (SELECT idx AS id, list_sort(list_distinct(list_slice(list_filter(string_split_regex(left(summary, 300), '[.!?]'), lambda s: length(s) > 20), 1, 3))) AS urls, list_sort({_TITLE4}) AS stems FROM named),
+classes AS (SELECT id, urls, stems, min(id) OVER (PARTITION BY urls, stems) AS rep FROM stories),
+tokens AS (SELECT id, 'u' AS kind, unnest(urls) AS token FROM classes WHERE id = rep UNION ALL SELECT id, 's', unnest(stems) FROM classes WHERE id = rep)
+SELECT DISTINCT a, b, false AS copy FROM (SELECT x.id AS a, y.id AS b, x.kind FROM tokens x JOIN tokens y ON x.kind = y.kind AND x.token = y.token AND x.id < y.id GROUP BY ALL HAVING count(*) >= 2)
+UNION ALL SELECT rep, id, true FROM classes WHERE id <> rep AND (len(urls) >= 2 OR len(stems) >= 2)""")
+def story_matches(spark, sf_dir):
+    """Pairs of different stories that are one (two shared addresses or word starts), and each copy with the first of its kind."""
+    return R.same_stories(_as_stories(spark, sf_dir))
+
+
+def _proposed(spark, sf_dir) -> DataFrame:
+    """Stories that a judge would propose: the nine most frequent starts of titles' first and last words in each pool; reports older than a day are theirs already."""
+    items = _routed(spark, sf_dir).filter("length(title) > 0")
+    ends = F.array_distinct(F.array(F.lower(F.regexp_extract("title", r"^\P{L}*(\p{L}{3})", 1)), F.lower(F.regexp_extract("title", r"(\p{L}{3})[^ ]*$", 1))))
+    told = materialise(items.withColumn("name", F.explode(ends)).filter("name <> ''").withColumn("family", F.coalesce("family", F.lit(""))), "proposals")
+    counts = told.groupBy("pool", "name").agg(F.count(F.lit(1)).alias("c"))
+    top = select.first_of(counts, "pool", 9, F.desc("c"), F.col("name"))
+    top = top.withColumn("pos", F.row_number().over(Window.partitionBy("pool").orderBy(F.desc("c"), "name")))  # nine rows a pool
+    role = F.when(F.col("category") == "URGENT", "witness").when(F.col("category") == "TECH", R.LEAD).otherwise("detail")
+    named = told.join(top.select(F.col("pool").alias("t_pool"), F.col("name").alias("t_name"), "pos"), (F.col("pool") == F.col("t_pool")) & (F.col("name") == F.col("t_name")))
+    old = F.coalesce(F.col("publishedAt") < AS_OF_MS - 40 * HOUR, F.lit(False)) & F.col("scope").isin("local")
+    return named.select("pool", "pos", F.col("idx").alias("k"), "idx", "source", "family", "title", "summary", "priority", role.alias("role"), F.col("name").alias("story_title"), old.alias("base"))
+
+
+_BLOCK = "{'idx': idx, 'source': source, 'family': family, 'stems': own, 'about': about, 'role': role}"
+
+
+@query(_with(ROUTED).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+told AS (
+  SELECT *, unnest(list_filter(list_distinct([lower(regexp_extract(title, '^\\P{{L}}*(\\p{{L}}{{3}})', 1)), lower(regexp_extract(title, '(\\p{{L}}{{3}})[^ ]*$', 1))]), lambda x: x <> '')) AS name FROM routed WHERE length(title) > 0
+), top AS (
+  SELECT pool, name, row_number() OVER (PARTITION BY pool ORDER BY count(*) DESC, name) AS pos FROM told GROUP BY pool, name
+), proposed AS (
+  SELECT t.pool, pos, idx, source, coalesce(family, '') AS family, priority, CASE category WHEN 'URGENT' THEN 'witness' WHEN 'TECH' THEN 'lead' ELSE 'detail' END AS role,
+    {_FIT("title")} AS own, {_FIT("t.name")} AS named, list_concat({_FIT("title")}, {_FIT("left(coalesce(summary, ''), 400)")}) AS about,
+    coalesce("publishedAt" < {AS_OF_MS - 40 * HOUR}, false) AND scope = 'local' AS base
+  FROM told t JOIN top USING (pool, name) WHERE pos <= {R.MOST_STORIES}
+), steps AS (
+  SELECT *, row_number() OVER (PARTITION BY pool ORDER BY pos, base DESC, idx) AS r FROM proposed
+  UNION ALL SELECT pool, 99, NULL, '', '', 0, '', [], [], [], false, count(*) + 1 FROM proposed GROUP BY pool
+), walk AS (
+  SELECT pool, 0::BIGINT AS r, 0::BIGINT AS pos, []::BIGINT[] AS used, []::BIGINT[] AS urgent, []::BIGINT[] AS taken, []::STRUCT(idx BIGINT, source VARCHAR, family VARCHAR, stems VARCHAR[], about VARCHAR[], role VARCHAR)[] AS blocks,
+    []::STRUCT(pos BIGINT, blocks STRUCT(idx BIGINT, source VARCHAR, family VARCHAR, stems VARCHAR[], about VARCHAR[], role VARCHAR)[])[] AS done FROM proposed GROUP BY pool
+  UNION ALL
+  SELECT pool, r, now, CASE WHEN takes AND NOT base AND role <> 'lead' THEN list_append(used, idx) ELSE used END, CASE WHEN takes AND NOT base AND role <> 'lead' AND priority >= 2 THEN list_append(urgent, idx) ELSE urgent END,
+    CASE WHEN takes AND NOT base AND role <> 'lead' THEN list_append(taken, idx) ELSE taken END, CASE WHEN takes THEN list_append(blocks, {_BLOCK}) ELSE blocks END, done
+  FROM (
+    SELECT *, idx IS NOT NULL AND (base OR (NOT list_contains(used, idx) AND NOT list_contains(list_transform(blocks, lambda b: b.family), family)
+      AND (len(blocks) = 0 OR len(own) = 0 OR len(list_intersect(own, list_concat(named, blocks[1].about))) > 0))) AS takes
+    FROM (
+      SELECT s.*, s.pos AS now, w.urgent,
+        CASE WHEN s.pos <> w.pos AND NOT w.good THEN list_filter(w.used, lambda x: NOT list_contains(w.taken, x)) ELSE w.used END AS used,
+        CASE WHEN s.pos <> w.pos THEN [] ELSE w.taken END AS taken, CASE WHEN s.pos <> w.pos THEN [] ELSE w.blocks END AS blocks,
+        CASE WHEN s.pos <> w.pos AND w.good THEN list_append(w.done, {{'pos': w.pos, 'blocks': w.blocks[1:{R.MOST_BLOCKS}]}}) ELSE w.done END AS done
+      FROM (
+        SELECT *, len(list_distinct(list_transform(blocks[1:{R.MOST_BLOCKS}], lambda b: b.source))) >= CASE WHEN len(list_intersect(urgent, used)) > 0 OR len(list_filter(blocks[1:{R.MOST_BLOCKS}], lambda b: b.role = 'witness')) > 0 THEN {R.LEAST_BIG} ELSE {R.LEAST_SOURCES} END AS good FROM walk
+      ) w JOIN steps s ON s.pool = w.pool AND s.r = w.r + 1
+    )
+  )
+), last AS (SELECT pool, unnest(done) AS d FROM (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY r DESC) AS rn FROM walk) WHERE rn = 1)
+SELECT pool, d.pos::INT AS pos, (i - 1)::INT AS place, d.blocks[i].idx AS idx, d.blocks[i].role = 'lead' AS lead FROM (SELECT pool, d, unnest(range(1, len(d.blocks) + 1)) AS i FROM last)""")
+def press_reviews(spark, sf_dir):
+    """Blocks of the five most told stories of every pool."""
+    return R.assign_blocks(_proposed(spark, sf_dir))
+
+
+@query(_with(NAMED) + f""", blocks AS (SELECT idx, source, title, summary, {_FIT("title")} AS own, row_number() OVER (PARTITION BY source ORDER BY idx) AS rn FROM named),
+leads AS (SELECT source, title AS l_title, summary AS l_summary FROM blocks WHERE rn = 1)
+SELECT idx, len(own) = 0 OR len(list_intersect(own, list_concat({_FIT("coalesce(l_title, '')")}, {_FIT("left(coalesce(l_summary, ''), 400)")}))) > 0 AS fits FROM blocks b JOIN leads l ON l.source IS NOT DISTINCT FROM b.source""")
+def fitting_blocks(spark, sf_dir):
+    """Whether each item fits a story led by its source's first item."""
+    items = _named(spark, sf_dir)
+    lead = items.groupBy("source").agg(F.min_by("title", "idx").alias("l_title"), F.min_by(F.substring("summary", 1, 400), "idx").alias("l_summary")).withColumnRenamed("source", "l_source")
+    joined = items.join(lead, F.col("source").eqNullSafe(F.col("l_source")))
+    return joined.select("idx", R.fits(F.col("title"), F.lit(""), F.col("l_title"), F.col("l_summary")).alias("fits"))
