@@ -29,16 +29,21 @@ def bridges(items: DataFrame, markers: dict[str, tuple[str, ...]], most: int = 2
     return local.orderBy("idx").limit(most).withColumn("bridge", F.lit(True))
 
 
-def source_scope(sources: DataFrame, domains: DataFrame, world: tuple[str, ...]) -> DataFrame:
-    """``scope`` of each source: known world outlets, then home domains, then pool domains, else world.
+def source_scope(sources: DataFrame, domains: DataFrame, world: tuple[str, ...], spaces: DataFrame | None = None) -> DataFrame:
+    """``scope`` of each source: known world outlets, then home domains, then pool domains, then a country of a pool's space, else world.
 
-    ``domains`` (kind, domain) is a bounded dimension that is matched inside the address.
+    ``domains`` (kind, domain), matched inside the address, and ``spaces``
+    (source, pool: sources whose country is in a pool's space) are bounded dimensions.
     """
     d = F.broadcast(domains.select(F.col("kind").alias("d_kind"), "domain"))
     hit = sources.join(d, F.contains(F.lower("url"), F.col("domain"))).groupBy("url").agg(F.max((F.col("d_kind") == "home").cast("int")).alias("home"), F.max((F.col("d_kind") == "pool").cast("int")).alias("near"))
     joined = sources.drop("scope").join(hit, "url", "left")
-    scope = F.when(F.col("source").isin(*world), "world").when(F.col("home") == 1, "local").when(F.col("near") == 1, "pool").otherwise("world")
-    return joined.withColumn("scope", scope).drop("home", "near")
+    known = F.lit(False)
+    if spaces is not None:
+        joined = joined.join(F.broadcast(spaces.select(F.col("source").alias("k_source")).distinct()), F.col("source") == F.col("k_source"), "left")
+        known = F.col("k_source").isNotNull()
+    scope = F.when(F.col("source").isin(*world), "world").when(F.col("home") == 1, "local").when((F.col("near") == 1) | known, "pool").otherwise("world")
+    return joined.withColumn("scope", scope).drop("home", "near", "k_source")
 
 
 def active_sources(sources: DataFrame, retired: DataFrame) -> DataFrame:

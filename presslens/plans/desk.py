@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from presslens.functions import text as X
 from presslens.operators import desk, memory, route, select
-from presslens.plans.feed import _items, _with, query
+from presslens.plans.feed import _items, _like, _with, query
 from presslens.sources import items as S
 from presslens.sources.items import AS_OF_MS, ITEMS_SQL
 from presslens.shared import table
@@ -21,23 +22,37 @@ def values(rows: list[tuple], names: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows) + f") v({names})"
 
 
-RATES = [("USD", "87,45", " 87.9 "), ("EUR", "н/д", "95.1"), ("RUB", "0", "1.1"), ("KZT", "0.17", "0,19"), ("GBP", "110", "111"), ("CNY", "12", "12.3")]
+CODES = ("USD", "EUR", "RUB", "CNY", "KZT", "GBP", "JPY")
 
 
-@query(f"""SELECT * FROM (SELECT code, try_cast(replace(trim(buy), ',', '.') AS DOUBLE) AS buy, try_cast(replace(trim(sell), ',', '.') AS DOUBLE) AS sell FROM {values(RATES, 'code, buy, sell')}
-WHERE code IN ('USD', 'EUR', 'RUB', 'CNY', 'KZT')) WHERE buy > 0 AND sell > 0""")
+@query(f"""WITH cells AS (
+  SELECT c_custkey AS office, {list(CODES)}[c_custkey % 7 + 1] AS code, CASE WHEN c_acctbal < 0 THEN 'n/a' ELSE replace(printf('%.2f', c_acctbal / 100), '.', ',') END AS buy,
+    CASE WHEN c_nationkey = 0 THEN '' ELSE ' ' || printf('%.4f', c_acctbal / 99) || ' ' END AS sell FROM customer
+), priced AS (SELECT office, code, try_cast(replace(trim(buy), ',', '.') AS DOUBLE) AS buy, try_cast(replace(trim(sell), ',', '.') AS DOUBLE) AS sell FROM cells WHERE code IN ('USD', 'EUR', 'RUB', 'CNY', 'KZT'))
+SELECT code, count(*) AS offices, max(buy) AS best_buy, min(sell) AS best_sell FROM priced WHERE buy > 0 AND sell > 0 GROUP BY code""")
 def fx_rates(spark, sf_dir):
-    found = S.fx_rates(spark.createDataFrame(RATES, "code string, buy string, sell string"))
-    return found.select(F.explode("rates").alias("code", "r")).select("code", "r.buy", "r.sell")
-
-
-QUOTES = [("S&P", 5123.4, 5100.0), ("Nikkei", 38001.25, 0.0), ("DAX", 17800.5, None), ("Индекс", 3200.0, 3300.0)]
-
-
-@query(f"""SELECT name, price, previous, round(coalesce((price - previous) * 100 / nullif(previous, 0), 0), 2) AS change, format('{{:,.2f}}', price) AS shown
-FROM (SELECT name, price::DOUBLE AS price, previous::DOUBLE AS previous FROM {values(QUOTES, 'name, price, previous')})""")
+    """Exchange offices' price cells as text: accounts stand for prices, some empty, some below zero, with either decimal mark."""
+    balance, key = F.col("c_acctbal"), F.col("c_custkey")
+    cells = table(spark, sf_dir, "customer").select(
+        key.alias("office"),
+        F.get(F.array(*map(F.lit, CODES)), (key % 7).cast("int")).alias("code"),
+        F.when(balance < 0, "n/a").otherwise(F.replace(F.format_string("%.2f", balance / 100), F.lit("."), F.lit(","))).alias("buy"),
+        F.when(F.col("c_nationkey") == 0, "").otherwise(F.format_string(" %.4f ", balance / 99)).alias("sell"),
+    )
+    return S.fx_rates(cells)
+
+
+@query("""WITH days AS (SELECT o_orderstatus AS name, o_orderdate AS day, max(o_orderkey) AS last_key FROM orders GROUP BY ALL),
+closes AS (SELECT d.name, d.day, CASE WHEN o.o_orderpriority LIKE '1%' THEN 0 ELSE o.o_totalprice END AS price FROM days d JOIN orders o ON o.o_orderkey = d.last_key),
+quotes AS (SELECT *, lag(price) OVER (PARTITION BY name ORDER BY day) AS previous FROM closes)
+SELECT name, strftime(day, '%Y-%m-%d') AS day, price, previous, round(coalesce((price - previous) * 100 / nullif(previous, 0), 0), 2) AS change, format('{:,.2f}', price) AS shown FROM quotes""")
 def index_quotes(spark, sf_dir):
-    return S.index_quotes(spark.createDataFrame(QUOTES, "name string, price double, previous double"))
+    """Order prices as index quotes: the last order of a day closes it, urgent ones have no price; the day before is the previous close."""
+    orders = table(spark, sf_dir, "orders")
+    last = F.max_by(F.when(F.col("o_orderpriority").startswith("1"), 0.0).otherwise(F.col("o_totalprice")), "o_orderkey")
+    closes = orders.groupBy(F.col("o_orderstatus").alias("name"), F.col("o_orderdate").alias("at")).agg(last.alias("price"))
+    quotes = closes.withColumn("previous", F.lag("price").over(Window.partitionBy("name").orderBy("at")))  # a row a day
+    return S.index_quotes(quotes).select("name", F.date_format("at", "yyyy-MM-dd").alias("day"), "price", "previous", "change", "shown")
 
 
 @query(_with(ITEMS_SQL) + """, clips AS (SELECT idx, source AS "channelId", title || CASE WHEN idx % 10 = 0 THEN ' 🔥🔥' WHEN idx % 10 = 1 THEN ' 🔥' ELSE '' END AS title, idx * 7919 % 500000 AS views FROM items),
@@ -71,27 +86,35 @@ def station_totals(spark, sf_dir):
     return desk.station_totals(_stations(spark, sf_dir), ("news", "src1"))
 
 
-@query(_with(ITEMS_SQL) + STATIONS + """SELECT idx, lastcheckok = 1 OR (SELECT count(*) FILTER (WHERE lastcheckok = 0) * 2 > count(*) FROM stations) AS alive FROM stations""")
+@query(_with(ITEMS_SQL) + STATIONS + """SELECT 'calm' AS run, idx, lastcheckok = 1 AS alive FROM stations WHERE (SELECT count(*) FILTER (WHERE lastcheckok = 0) * 2 <= count(*) FROM stations)
+UNION ALL SELECT 'fault', idx, true FROM stations WHERE (SELECT count(*) FILTER (WHERE lastcheckok = 1) * 2 > count(*) FROM stations)""")
 def majority_alive(spark, sf_dir):
-    return memory.majority_alive(_stations(spark, sf_dir).withColumn("alive", F.col("lastcheckok") == 1)).select("idx", "alive")
+    """Two checks: one in which a quarter of the stations looks dead, and its opposite, in which most do and none counts as dead."""
+    ok, runs = F.col("lastcheckok") == 1, []
+    for run, alive in (("calm", ok), ("fault", ~ok)):
+        runs.append(memory.majority_alive(_stations(spark, sf_dir).withColumn("alive", alive)).select(F.lit(run).alias("run"), "idx", "alive"))
+    return runs[0].unionByName(runs[1])
 
 
-SOURCES = """, sources AS (SELECT source, 'https://' || source || '.example/feed' AS url, min(language) AS lang FROM items WHERE source IS NOT NULL GROUP BY source)"""
+SOURCES = """, sources AS (SELECT source, 'https://' || source || '.example/feed' AS url, arg_min(language, idx) AS lang FROM items WHERE source IS NOT NULL GROUP BY source)"""
 DOMAINS = [("home", "src1."), ("pool", "src2."), ("pool", "src1."), ("home", "src3.example"), ("pool", "src1")]
 RETIRED = [("src4.",), ("src17",)]
-COUNTRIES = [("src5", "CountryA"), ("src6", "CountryB")]
+COUNTRIES = [("src5", "CountryA"), ("src6", "CountryB"), ("src9", "CountryA"), ("src3", "CountryA")]
+SPACES = [("ru", "CountryA"), ("es", "CountryC")]
 TLDS = [("example", "Exampleland"), ("kg", "Kyrgyzstan")]
 
 
 def _sources(spark, sf_dir):
     url = F.concat(F.lit("https://"), "source", F.lit(".example/feed")).alias("url")
-    return _items(spark, sf_dir).filter("source IS NOT NULL").groupBy("source").agg(F.min("language").alias("lang")).select("source", url, "lang", F.lit(None).cast("string").alias("scope"))
+    return _items(spark, sf_dir).filter("source IS NOT NULL").groupBy("source").agg(F.min_by("language", "idx").alias("lang")).select("source", url, "lang", F.lit(None).cast("string").alias("scope"))
 
 
 @query(_with(ITEMS_SQL) + SOURCES + f""", hit AS (SELECT url, bool_or(kind = 'home') AS home FROM sources JOIN {values(DOMAINS, 'kind, domain')} ON contains(lower(url), domain) GROUP BY url)
-SELECT source, s.url, CASE WHEN source = 'src9' THEN 'world' WHEN home THEN 'local' WHEN home IS NOT NULL THEN 'pool' ELSE 'world' END AS scope FROM sources s LEFT JOIN hit USING (url)""")
+SELECT source, s.url, CASE WHEN source = 'src9' THEN 'world' WHEN home THEN 'local' WHEN home IS NOT NULL THEN 'pool' WHEN source IN (SELECT source FROM {values(COUNTRIES, 'source, country')} JOIN {values(SPACES, 'pool, land').replace(' v(', ' w(')} ON land = country) THEN 'pool' ELSE 'world' END AS scope FROM sources s LEFT JOIN hit USING (url)""")
 def source_scopes(spark, sf_dir):
-    return route.source_scope(_sources(spark, sf_dir), spark.createDataFrame(DOMAINS, "kind string, domain string"), ("src9",)).select("source", "url", "scope")
+    """World outlets, home and pool domains, countries of a pool's space, and the rest."""
+    known = spark.createDataFrame(COUNTRIES, "source string, country string").join(spark.createDataFrame(SPACES, "pool string, land string"), F.col("country") == F.col("land"))
+    return route.source_scope(_sources(spark, sf_dir), spark.createDataFrame(DOMAINS, "kind string, domain string"), ("src9",), known).select("source", "url", "scope")
 
 
 @query(_with(ITEMS_SQL) + SOURCES + f"""SELECT source, url FROM sources s WHERE (lang IS NULL OR lang IN ('ru', 'en', 'es', 'pt', 'fr')) AND NOT EXISTS (SELECT 1 FROM {values(RETIRED, 'fragment')} WHERE contains(lower(s.url), fragment))""")
@@ -114,10 +137,14 @@ def auto_category(spark, sf_dir):
     return route.auto_category(_items(spark, sf_dir), spark.createDataFrame(KEYWORDS, "category string, pos int, keyword string")).select("idx", "category")
 
 
-@query(_with(ITEMS_SQL) + """SELECT idx, CASE WHEN scope = 'local' AND idx % 10 <> 0 AND idx % 2 <> 0 THEN CASE WHEN idx % 5 = 0 THEN 'pool' ELSE 'world' END ELSE scope END AS scope FROM items""")
+HOMES, NEIGHBOURS = ("//src1.", "//src3."), ("//src1", "//src7.")
+
+
+@query(_with(ITEMS_SQL) + f"""SELECT idx, CASE WHEN scope = 'local' AND NOT coalesce(starts_with(title, 'T'), false) AND NOT {_like('url', HOMES)} THEN CASE WHEN {_like('url', NEIGHBOURS)} THEN 'pool' ELSE 'world' END ELSE scope END AS scope FROM items""")
 def demoted_local(spark, sf_dir):
-    idx = F.col("idx")
-    return _items(spark, sf_dir).select("idx", route.demote_foreign_local(F.col("scope"), idx % 10 == 0, idx % 2 == 0, idx % 5 == 0).alias("scope"))
+    """Local items of sources that aren't at home go to the pool of their domain, else to the world; bridges stay."""
+    holds = lambda parts: X.any_of(F.col("url"), parts)
+    return _items(spark, sf_dir).select("idx", route.demote_foreign_local(F.col("scope"), F.startswith("title", F.lit("T")), holds(HOMES), holds(NEIGHBOURS)).alias("scope"))
 
 
 MARKERS = {"ru": ("ta",), "en": ("ou", "st"), "es": ("ri",), "pt": ()}

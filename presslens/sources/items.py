@@ -139,11 +139,11 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*?href=\"([^\"]*)\""), F.lit(1))
 
 
-def fx_rates(rows: DataFrame) -> DataFrame:
-    """``code, buy, sell`` text cells -> one row with the map of rates whose prices are both above 0."""
-    number = lambda c: F.try_to_number(F.replace(F.trim(c), F.lit(","), F.lit(".")), F.lit("9999999.9999")).cast("double")
-    good = rows.filter(F.col("code").isin("USD", "EUR", "RUB", "CNY", "KZT")).select("code", number(F.col("buy")).alias("buy"), number(F.col("sell")).alias("sell")).filter("buy > 0 AND sell > 0")
-    return good.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", F.struct("buy", "sell"))))).alias("rates")).filter(F.size("rates") > 0)
+def fx_rates(cells: DataFrame) -> DataFrame:
+    """Offices' cells (office, code, buy, sell), all text -> ``code, offices, best_buy, best_sell`` of pairs whose prices are both above 0."""
+    number = lambda c: F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast("double")
+    good = cells.filter(F.col("code").isin("USD", "EUR", "RUB", "CNY", "KZT")).select("code", number(F.col("buy")).alias("buy"), number(F.col("sell")).alias("sell")).filter("buy > 0 AND sell > 0")
+    return good.groupBy("code").agg(F.count(F.lit(1)).alias("offices"), F.max("buy").alias("best_buy"), F.min("sell").alias("best_sell"))
 
 
 def index_quotes(quotes: DataFrame) -> DataFrame:
