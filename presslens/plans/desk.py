@@ -96,7 +96,7 @@ def majority_alive(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
-SOURCES = """, sources AS (SELECT source, 'https://' || source || '.example/feed' AS url, arg_min(language, idx) AS lang FROM items WHERE source IS NOT NULL GROUP BY source)"""
+SOURCES = """, sources AS (SELECT source, 'https://' || source || '.example/feed' AS url, arg_max(language, idx) AS lang FROM items WHERE source IS NOT NULL GROUP BY source)"""
 DOMAINS = [("home", "src1."), ("pool", "src2."), ("pool", "src1."), ("home", "src3.example"), ("pool", "src1")]
 RETIRED = [("src4.",), ("src17",)]
 COUNTRIES = [("src5", "CountryA"), ("src6", "CountryB"), ("src9", "CountryA"), ("src3", "CountryA")]
@@ -106,7 +106,7 @@ TLDS = [("example", "Exampleland"), ("kg", "Kyrgyzstan")]
 
 def _sources(spark, sf_dir):
     url = F.concat(F.lit("https://"), "source", F.lit(".example/feed")).alias("url")
-    return _items(spark, sf_dir).filter("source IS NOT NULL").groupBy("source").agg(F.min_by("language", "idx").alias("lang")).select("source", url, "lang", F.lit(None).cast("string").alias("scope"))
+    return _items(spark, sf_dir).filter("source IS NOT NULL").groupBy("source").agg(F.max_by("language", "idx").alias("lang")).select("source", url, "lang", F.lit(None).cast("string").alias("scope"))
 
 
 @query(_with(ITEMS_SQL) + SOURCES + f""", hit AS (SELECT url, bool_or(kind = 'home') AS home FROM sources JOIN {values(DOMAINS, 'kind, domain')} ON contains(lower(url), domain) GROUP BY url)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from presslens.functions import text as X
 from presslens.functions import words as W
 from presslens.operators import reviews as R
 from presslens.operators import select
-from presslens.plans.feed import NAMED, ROUTED, _named, _routed, _with, query
-from presslens.sources.items import AS_OF_MS
+from presslens.plans.feed import NAMED, ROUTED, _items, _named, _routed, _with, query
+from presslens.plans.state import TITLE_KEY
 from presslens.shared import materialise
+from presslens.sources.items import AS_OF_MS, ITEMS_SQL
+from presslens.streaming import posts as P
 from presslens.streaming import stories as S
 
 HOUR = S.HOUR
@@ -154,3 +157,23 @@ def fitting_blocks(spark, sf_dir):
     lead = items.groupBy("source").agg(F.min_by("title", "idx").alias("l_title"), F.min_by(F.substring("summary", 1, 400), "idx").alias("l_summary")).withColumnRenamed("source", "l_source")
     joined = items.join(lead, F.col("source").eqNullSafe(F.col("l_source")))
     return joined.select("idx", R.fits(F.col("title"), F.lit(""), F.col("l_title"), F.col("l_summary")).alias("fits"))
+
+
+@query(_with(ITEMS_SQL).replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
+posts AS (
+  SELECT idx AS id, "publishedAt" AS tm, ['u:' || source || '/' || coalesce(lower(regexp_extract(title, '(\\p{{L}}+)[^ ]*$', 1)), ''), {TITLE_KEY}] AS keys FROM items WHERE source IS NOT NULL
+), steps AS (
+  SELECT id, tm, list_distinct(keys) AS keys, row_number() OVER (ORDER BY tm, id) AS k FROM posts
+), walk AS (
+  SELECT 0::BIGINT AS k, NULL::BIGINT AS id, NULL::BIGINT AS tm, []::STRUCT(key VARCHAR, tm BIGINT)[] AS made
+  UNION ALL
+  SELECT s.k, CASE WHEN free THEN s.id END, CASE WHEN free THEN s.tm END, CASE WHEN free THEN list_concat(w.made, list_transform(s.keys, lambda x: {{'key': x, 'tm': s.tm}})) ELSE w.made END
+  FROM (SELECT w.*, s.id AS s_id, len(list_filter(w.made, lambda m: list_contains(s.keys, m.key) AND m.tm > s.tm - {{TTL}})) = 0 AS free FROM walk w JOIN steps s ON s.k = w.k + 1) w JOIN steps s ON s.k = w.k + 1
+)
+SELECT id, tm AS "at" FROM walk WHERE id IS NOT NULL""".replace("{TTL}", str(12 * HOUR)))
+def posted_stream(spark, sf_dir):
+    """Posts of which neither address nor title was posted within twelve hours, published in three batches that each run twice."""
+    items = _items(spark, sf_dir).filter("source IS NOT NULL")
+    address = F.concat(F.lit("u:"), "source", F.lit("/"), F.lower(F.regexp_extract("title", r"(\p{L}+)[^ ]*$", 1)))
+    posts = items.select(F.col("idx").alias("id"), F.col("publishedAt").alias("at"), F.array(address, X.post_keys(F.col("url"), F.col("title"))[1]).alias("keys"))
+    return P.replay(posts, ttl_ms=12 * HOUR).select("id", "at")
