@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import partial
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -221,17 +223,39 @@ def title_tail(title: Column) -> Column:
     return F.when(F.length(short) >= 25, short).otherwise(title)
 
 
+_NAMED = json.dumps({name: chr(code) for name, code in (name2codepoint | {"apos": 39}).items()})
+
+
+def unescape(text: Column) -> Column:
+    """Named (of HTML 4) and numeric entities as characters, each once: what an ampersand's entity gives isn't read again.
+
+    Numbers that are no character become U+FFFD; unknown names stay.
+    """
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]{1,15};))"), F.lit(1)))
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def char(entity: Column) -> Column:
+        inner = F.regexp_replace(entity, "^&|;$", "")
+        digits = F.when(inner.rlike("^#[xX]"), F.conv(F.substring(inner, 3, 8), 16, 10)).otherwise(F.substring(inner, 2, 8)).cast("long")
+        code = F.when((digits == 0) | digits.between(0xD800, 0xDFFF) | (digits > 0x10FFFF), 0xFFFD).otherwise(digits)
+        return F.when(F.startswith(inner, F.lit("#")), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.try_element_at(names, inner))
+
+    # Longer ones first, as one may begin another; those that give an ampersand last.
+    each = F.transform(found, lambda e: F.struct((char(e) == "&").alias("last"), (-F.length(e)).alias("size"), e.alias("entity"), char(e).alias("char")))
+    known = F.array_sort(F.filter(each, lambda e: e["char"].isNotNull()))
+    out = F.aggregate(known, text, lambda t, e: F.replace(t, e["entity"], e["char"]))
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+
+
 def clean_text(text: Column) -> Column:
-    """Common entities, zero-width characters, tags, left-over attributes and runs of white space."""
-    out = F.coalesce(text, F.lit(""))
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&laquo;", "«"), ("&raquo;", "»"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    out = F.regexp_replace(out, " ", " ")
-    out = F.regexp_replace(out, "[​-‏﻿]", "")
-    out = F.regexp_replace(out, r"(?s)<[A-Za-z/!](?:\"[^\"]*\"|'[^']*'|[^'\">])*>", " ")
-    out = F.regexp_replace(out, r"<[^>]*>", " ")
-    out = F.regexp_replace(out, r"[A-Za-z-]+=\"[^\"]*\"\s*/?>?", " ")
-    return F.trim(F.regexp_replace(out, r"\s+", " "))
+    """Text without entities, zero-width spaces, tags, left-over attributes, stray closing brackets and runs of white space."""
+    out = bound(F.coalesce(text, F.lit("")), unescape)
+    out = F.regexp_replace(F.replace(out, F.lit("\u200b"), F.lit("")), "\u00a0", " ")
+    out = F.regexp_replace(out, r"<[a-zA-Z/!][^<>\"]*+(?:\"[^\"]*\"[^<>\"]*+)*+>", " ")
+    out = F.regexp_replace(out, r"<[^>]+>", " ")
+    out = F.regexp_replace(out, W.ORPHAN_ATTRIBUTES, "$1 ")
+    out = F.regexp_replace(out, r"\s*/?>\s*", " ")
+    return F.btrim(F.regexp_replace(out, r"\s+", " "))
 
 
 def shorten(title: Column, size: int = 52) -> Column:

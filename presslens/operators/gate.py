@@ -27,11 +27,25 @@ def drop_leading_title(title: Column, body: Column) -> Column:
 
 
 def drop_inner_title(title: Column, body: Column) -> Column:
-    """The body without the first repeat of a title of at least four words."""
-    long = F.size(X.tokens(title)) >= 4
-    at = F.instr(body, title)
-    cut = F.trim(F.concat(F.rtrim(F.substring(body, F.lit(1), at - 1)), F.lit(" "), F.ltrim(F.substring(body, at + F.length(title), F.length(body)))))
-    return F.when(long & (at > 0), cut).otherwise(body)
+    """The body without the first place where all words of a title (of at least four) stand in a row.
+
+    Words are compared in lower case and without marks. A body that loses its
+    title has single spaces; others stay as they are.
+    """
+    bare = lambda w: F.lower(F.regexp_replace(w, r"[^\p{L}\p{N}_]", ""))
+    split = lambda text: F.filter(F.split(F.coalesce(text, F.lit("")), r"[\s\u00a0]+", -1), lambda w: w != "")
+
+    def cut(both: Column) -> Column:
+        wanted, words, plain = both["wanted"], both["words"], both["plain"]
+        n = F.size(wanted)
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: (F.get(plain, i - 1) == F.get(wanted, F.lit(0))) & (F.slice(plain, i, n) == wanted))
+        at = F.get(starts, F.lit(0))
+        rest = F.concat(F.slice(words, F.lit(1), at - 1), F.slice(words, at + n, F.size(words)))
+        return F.when((n > 0) & at.isNotNull(), F.array_join(rest, " ")).otherwise(body)
+
+    words = split(body)
+    parts = F.struct(F.filter(F.transform(split(title), bare), lambda w: w != "").alias("wanted"), words.alias("words"), F.transform(words, bare).alias("plain"))
+    return F.when(F.size(split(title)) >= 4, X.bound(parts, cut)).otherwise(body)
 
 
 def stub(body: Column) -> Column:

@@ -72,49 +72,73 @@ def with_family(items: DataFrame, members: DataFrame) -> DataFrame:
     return items.join(F.broadcast(renamed), F.col("source") == F.col("f_source"), "left").withColumn("family", F.coalesce("f_family", "source")).drop("f_source", "f_family")
 
 
-MEDIA = "array<struct<_url:string,_width:long,_type:string>>"
+MEDIA = "array<struct<_url:string,_width:string,_type:string,_medium:string>>"
 RSS = f"title string, link string, pubDate string, description string, `content:encoded` string, enclosure {MEDIA}, `media:content` {MEDIA}, `media:thumbnail` {MEDIA}"
 
 
 def best_image(row: Column) -> Column:
-    """An image enclosure, else the widest media entry (400 for contents and 100 for thumbnails without a width)."""
+    """An image enclosure, else the widest media entry that is a picture (400 for contents and 100 for thumbnails without a width)."""
     none = F.array().cast(MEDIA)
-    scored = lambda name, base: F.transform(F.coalesce(row[name], none), lambda m, i: F.struct(F.coalesce(m["_width"], F.lit(base)).cast("long").alias("score"), (-i).alias("pos"), m["_url"].alias("url")))
-    enclosure = F.get(F.filter(F.coalesce(row["enclosure"], none), lambda m: m["_type"].startswith("image")), F.lit(0))["_url"]
-    media = F.concat(scored("media:content", 400), scored("media:thumbnail", 100))
-    widest = F.array_max(media)
-    return F.struct(F.coalesce(enclosure, widest["url"]).alias("url"), (enclosure.isNull() & (widest["score"] < 600) & ~F.coalesce(widest["url"], F.lit("")).contains("1024")).alias("low"))
+    enclosure = F.get(F.coalesce(row["enclosure"], none), F.lit(0))
+    enclosed = F.when(F.contains(enclosure["_type"], F.lit("image")) & (F.length(enclosure["_url"]) > 0), enclosure["_url"])
+
+    def scored(name: str, base: int) -> Column:
+        pictures = F.filter(
+            F.coalesce(row[name], none),
+            lambda m: F.startswith(m["_url"], F.lit("http")) & (F.contains(F.lower(F.coalesce(m["_medium"], m["_type"], F.lit(""))), F.lit("image")) | F.lower(m["_url"]).rlike(r"\.(jpg|jpeg|png|webp)")),
+        )
+        width = lambda m: F.when(m["_width"].rlike(r"^\s*\d{1,9}\s*$") & ~m["_width"].rlike(r"^\s*0+\s*$"), F.trim(m["_width"]).cast("long")).otherwise(F.lit(base).cast("long"))
+        return F.transform(pictures, lambda m, i: F.struct(width(m).alias("score"), (-i).alias("pos"), m["_url"].alias("url")))
+
+    widest = F.array_max(F.concat(scored("media:content", 400), scored("media:thumbnail", 100)))
+    low = enclosed.isNull() & (widest["score"] < 600) & ~F.contains(widest["url"], F.lit("1024"))
+    return F.struct(F.coalesce(enclosed, widest["url"]).alias("url"), F.coalesce(low, F.lit(False)).alias("low"))
+
+
+def russian_or_kyrgyz(text: Column) -> Column:
+    """Whether there is more than half as much Cyrillic as Latin."""
+    return X.count(text, X.CYRILLIC) * 2 > X.count(text, X.LATIN)
+
+
+def item_language(native: Column, lang: Column, detected: Column, text: Column) -> Column:
+    """The source's language, unless that is a Cyrillic one and the text is Latin; a ``native`` one always holds."""
+    own = F.coalesce(lang, detected)
+    latin = own.isin(*W.CYRILLIC_SOURCES) & (X.count(text, "[а-яёА-ЯЁ]") < 3) & (X.count(text, "[A-Za-z]{3,}") >= 5)
+    return F.coalesce(native, F.when(latin, F.when(detected.isin("unknown", "other"), "en").otherwise(detected)).otherwise(own))
 
 
-def rss_items(feeds: DataFrame, as_of_ms: int) -> DataFrame:
-    """Items of feeds (``source, quota, category, priority, scope, lang, xml``): the first ``quota`` entries of each, then the title rules.
+def rss_items(feeds: DataFrame, as_of_ms: int, russian_only: tuple[str, ...] = ()) -> DataFrame:
+    """Items of feeds (``source, quota, category, priority, scope, lang, native, xml``): the first ``quota`` entries of each, then the title rules.
 
-    Broken XML gives no rows. Entries are taken before filtering, as the quota
-    counts what the feed lists.
+    Entries are taken before filtering, as the quota counts what the feed lists.
+    A feed that isn't well-formed XML has no entries at all.
     """
-    parsed = feeds.withColumn("item", F.explode(F.slice(F.regexp_extract_all("xml", F.lit(r"(?s)(<item[ >].*?</item>)"), F.lit(1)), F.lit(1), F.greatest(F.col("quota"), F.lit(0)))))
-    row = F.from_xml("item", RSS)
+    entries = F.regexp_extract_all("xml", F.lit(r"(?s)(<item[ >].*?</item>)"), F.lit(1))
+    whole = F.from_xml("xml", "_corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    sound = feeds.withColumn("entries", F.when(whole["_corrupt_record"].isNull(), entries))
+    parsed = sound.withColumn("item", F.explode(F.slice("entries", F.lit(1), F.greatest(F.col("quota"), F.lit(0)))))
     image = best_image(F.col("r"))
-    title = X.clean_text(F.col("r.title"))
-    body = X.clean_text(F.coalesce(F.col("r.`content:encoded`"), F.col("r.description")))
-    out = parsed.withColumn("r", row).select(
-        "source", "category", "priority", "scope", F.col("lang").alias("source_lang"), title.alias("title"), F.trim("r.link").alias("url"), body.alias("body"),
-        image["url"].alias("imageUrl"), F.coalesce(image["low"], F.lit(False)).alias("imageLowRes"), F.coalesce(X.pub_date(F.col("r.pubDate")), F.lit(as_of_ms)).alias("publishedAt"),
+    out = parsed.withColumn("r", F.from_xml("item", RSS)).select(
+        "source", "category", "priority", "scope", F.col("lang").alias("source_lang"), "native", X.clean_text(F.btrim(F.coalesce(F.col("r.title"), F.lit("")))).alias("title"), F.trim(F.coalesce(F.col("r.link"), F.lit(""))).alias("url"),
+        X.strip_boilerplate(X.clean_text(F.coalesce(F.nullif(F.col("r.`content:encoded`"), F.lit("")), F.col("r.description")))).alias("body"),
+        image["url"].alias("imageUrl"), image["low"].alias("imageLowRes"), F.coalesce(X.pub_date(F.col("r.pubDate")), F.lit(as_of_ms)).alias("publishedAt"),
     )
+    out = out.filter((F.length("title") > 0) & ~X.any_of(F.lower("title"), W.BORING) & (~F.col("source").isin(*russian_only) | russian_or_kyrgyz(F.col("title"))))
     body = F.col("body")
-    without = F.when(F.startswith(body, F.col("title")), F.trim(F.substring(body, F.length("title") + 1, F.length(body)))).otherwise(body)
+    without = F.when(F.startswith(body, F.col("title")), F.ltrim(F.substring(body, F.length("title") + 1, F.length(body)), F.lit(" .,—-"))).otherwise(body)
     out = out.withColumn("summary", extract_summary(without)).drop("body")
-    return out.filter((F.length("title") > 0) & ~X.any_of(F.lower("title"), W.BORING)).withColumn("language", F.coalesce("source_lang", X.detect_language(F.concat_ws(" ", "title", "summary"))))
+    text = F.concat_ws(" ", "title", "summary")
+    return out.withColumn("language", item_language(F.col("native"), F.col("source_lang"), X.detect_language(text), F.concat("title", "summary"))).drop("native")
 
 
 def extract_summary(body: Column, size: int = 600) -> Column:
-    """At most 600 characters, cut after the last sentence that ends past the hundredth."""
+    """At most 600 characters, cut after the last full stop and space past the hundredth, else the last exclamation or question mark."""
     head = F.substring(body, 1, size)
     out = head
     for mark in (r"\.\n", r"\? ", r"! ", r"\. "):  # the last tried has the first say
         whole = F.regexp_extract(head, rf"(?s)^(.*){mark}", 1)
         out = F.when(F.length(whole) > 100, F.concat(whole, F.lit(mark.strip("\\").replace("\\n", "")[0]))).otherwise(out)
-    return F.when(F.length(body) <= size, body).otherwise(out)
+    return F.trim(F.when(F.length(body) <= size, body).otherwise(out))
 
 
 def page_text(html: Column) -> Column:
