@@ -19,17 +19,18 @@ HOME, NEAR = ("https://src1.", "https://src4."), ("https://src1", "https://src7.
 def _asked(spark, sf_dir) -> DataFrame:
     """Routed items with what the judge looks at: whose address is at home or near, and who writes of a neighbour."""
     has = lambda parts: F.col("url").rlike("|".join(p.replace(".", "\\.") for p in parts))
-    return _routed(spark, sf_dir).withColumns({"home": has(HOME), "near": has(NEAR), "bridge": F.contains("title", F.lit("un"))})
+    asked = _routed(spark, sf_dir).withColumns({"home": has(HOME), "near": has(NEAR), "bridge": F.contains("title", F.lit("un")), "chars": F.length("summary"), "score": _score()})
+    return asked.select("pool", "idx", "url", "title", "category", "priority", "scope", "home", "near", "bridge", "chars", "score")
 
 
 def _answers(items: DataFrame) -> DataFrame:
     """A judge that keeps texts of 300 characters, written as such judges write: fenced, with numbers that don't exist, cut short or missing."""
-    numbers = judge.in_chunks(items).join(items.select("pool", "idx", "title", "summary", "category", "priority", "scope"), ["pool", "idx"])
+    numbers = judge.in_chunks(items).join(items.select("pool", "idx", "title", "chars", "category", "priority", "scope"), ["pool", "idx"])
     when = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("n"))))
     entry = lambda c, value: F.map_from_entries(F.array_sort(F.collect_list(F.when(c, F.struct(F.col("n").cast("string").alias("k"), value.alias("v"))))))
     t = F.col("title")
     said = numbers.groupBy("pool", "chunk").agg(
-        when(F.length("summary") >= 300).alias("kept"),
+        when(F.col("chars") >= 300).alias("kept"),
         when((F.col("priority") == 2) & (F.col("category") != "TECH")).alias("urgent"),
         when(F.col("category") == "MONEY").alias("important"),
         when(F.contains(t, F.lit("|"))).alias("ad_suspects"),
@@ -45,7 +46,7 @@ def _answers(items: DataFrame) -> DataFrame:
 
 def _judged(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     items = materialise(_asked(spark, sf_dir), "judge-items")
-    return items, judge.judged(items, _answers(items), _score())
+    return items, judge.judged(items, _answers(items), F.col("score"))
 
 
 JUDGED = ROUTED + f""",
