@@ -150,9 +150,31 @@ def title_tail(spark, sf_dir):
     return _items(spark, sf_dir).select("idx", X.title_tail(F.col("title")).alias("title"), X.shorten(F.col("title")).alias("short"))
 
 
-@query()
+def stripped_sql(source: str, key: str = "idx") -> str:
+    """CTEs from ``source`` (key, text) to ``stripped`` (key, text): boilerplate and tails gone, ended at a whole sentence."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    steps = [f"strip0 AS (SELECT {key}, coalesce(text, '') AS text FROM {source})"]
+    for part in W.BOILERPLATE:
+        at = f"strpos(text, {quoted(part)})"
+        rest = f"trim(left(text, {at} - 1) || substr(text, {at} + {len(part)}), {quoted(' .,—-')} || chr(10))"
+        steps.append(f"strip{len(steps)} AS (SELECT {key}, CASE WHEN {at} BETWEEN 1 AND 300 THEN {rest} ELSE text END AS text FROM strip{len(steps) - 1})")
+    text = "text"
+    for _ in range(3):
+        for pattern in W.TAILS:
+            text = f"rtrim(regexp_replace({text}, {quoted('(?is)' + pattern)}, ''), {quoted(' .,—-–;:')} || chr(10))"
+    steps.append(f"tailless AS (SELECT {key}, {text} AS text FROM strip{len(steps) - 1})")
+    whole = r"regexp_replace(regexp_extract(text, '(?s)^(.*(?:[.!?] |\.\n|…))', 1), '[ \n]$', '')"
+    steps.append(f"wholes AS (SELECT {key}, text, {whole} AS whole FROM tailless)")
+    open_ = r"""text <> '' AND NOT regexp_matches(text, '(?s)[.!?…»"'']$')"""
+    steps.append(f"stripped AS (SELECT {key}, trim(CASE WHEN {open_} AND length(whole) > 81 THEN whole ELSE text END) AS text FROM wholes)")
+    return ",\n".join(steps)
+
+
+@query(_with(ITEMS_SQL) + ", texts AS (SELECT idx, summary AS text FROM items),\n" + stripped_sql("texts") + r"""
+SELECT s.idx, s.text AS summary, regexp_matches(m.tail, '[:—–-]$') OR (len(list_filter(string_split_regex(m.tail, '[ \t\r\n]+'), lambda x: x <> '')) > 12 AND NOT regexp_matches(m.tail, '[.!?…»"'')]$')) AS mangled
+FROM stripped s JOIN (SELECT idx, rtrim(coalesce(summary, '')) AS tail FROM items) m ON m.idx = s.idx""")
 def stripped_text(spark, sf_dir):
-    """Texts without boilerplate and service tails (look-ahead has no form in the SQL dialect; tested by cases)."""
+    """Texts without boilerplate and service tails, and whether they end mangled."""
     return _items(spark, sf_dir).select("idx", X.strip_boilerplate(F.col("summary")).alias("summary"), X.mangled(F.col("summary")).alias("mangled"))
 
 

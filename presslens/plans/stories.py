@@ -24,7 +24,7 @@ def reports(spark, sf_dir) -> DataFrame:
     polite = F.when(F.col("category") == "MONEY", F.concat(F.lit("Minister thanked "), "title")).otherwise(F.col("title"))
     name = F.lower(F.regexp_extract("title", r"(\p{L}{4})[^ ]*$", 1))
     return _routed(spark, sf_dir).select(
-        "pool", name.alias("story"), "idx", "source", F.coalesce("family", F.lit("")).alias("family"), "url", polite.alias("title"), "summary", "scope", F.timestamp_millis("publishedAt").alias("at")
+        "pool", name.alias("story"), "idx", "source", F.coalesce("family", F.lit("")).alias("family"), "url", polite.alias("title"), F.substring("summary", 1, 700).alias("summary"), "scope", F.timestamp_millis("publishedAt").alias("at")
     ).filter("story <> ''")
 
 
@@ -37,7 +37,7 @@ def _off_rules(title: str, text: str) -> str:
 REPORTS = ROUTED + r""",
 reports AS (
   SELECT pool, lower(regexp_extract(title, '(\p{L}{4})[^ ]*$', 1)) AS story, idx, source, coalesce(family, '') AS family, url,
-    CASE WHEN category = 'MONEY' THEN 'Minister thanked ' || title ELSE title END AS title, summary, scope, "publishedAt" AS ms FROM routed
+    CASE WHEN category = 'MONEY' THEN 'Minister thanked ' || title ELSE title END AS title, left(summary, 700) AS summary, scope, "publishedAt" AS ms FROM routed
 ), steps AS (
   SELECT *, row_number() OVER (PARTITION BY pool, story ORDER BY ms, idx) AS k, """ + _off_rules("coalesce(title, '')", "(coalesce(title, '') || ' ' || coalesce(summary, ''))") + """ AS off FROM reports WHERE story <> ''
 )"""
@@ -96,7 +96,8 @@ def _proposed(spark, sf_dir) -> DataFrame:
     """Stories that a judge would propose: the nine most frequent starts of titles' first and last words in each pool; reports older than a day are theirs already."""
     items = _routed(spark, sf_dir).filter("length(title) > 0")
     ends = F.array_distinct(F.array(F.lower(F.regexp_extract("title", r"^\P{L}*(\p{L}{3})", 1)), F.lower(F.regexp_extract("title", r"(\p{L}{3})[^ ]*$", 1))))
-    told = materialise(items.withColumn("name", F.explode(ends)).filter("name <> ''").withColumn("family", F.coalesce("family", F.lit(""))), "proposals")
+    narrow = items.withColumn("name", F.explode(ends)).filter("name <> ''").select("pool", "name", "idx", "source", F.coalesce("family", F.lit("")).alias("family"), "title", F.substring("summary", 1, 400).alias("summary"), "priority", "category", "scope", "publishedAt")
+    told = materialise(narrow, "proposals", compression="zstd")
     counts = told.groupBy("pool", "name").agg(F.count(F.lit(1)).alias("c"))
     top = select.first_of(counts, "pool", 9, F.desc("c"), F.col("name"))
     top = top.withColumn("pos", F.row_number().over(Window.partitionBy("pool").orderBy(F.desc("c"), "name")))  # nine rows a pool
