@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslens.llm.memory import release_memory
+from presslens.llm.memory import held, release_memory
 from presslens.llm.packing import Encoder
 from presslens.shared import materialise
 
@@ -204,15 +204,11 @@ class Aligner:
             yield sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(groups).encode()).hexdigest(), found, times
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
 def aligner(a_path: str, b_path: str) -> Aligner:
-    """One aligner of a Python worker."""
-    if (a_path, b_path) not in _ALIGNERS:
-        _ALIGNERS.clear()
-        _ALIGNERS[a_path, b_path] = Aligner(a_path, b_path)
-    return _ALIGNERS[a_path, b_path]
+    """The worker's aligner; what other operators kept goes."""
+    key = ("aligner", a_path, b_path)
+    release_memory(key)
+    return held(key, lambda: Aligner(a_path, b_path))
 
 
 def radix(keys: np.ndarray) -> np.ndarray:
@@ -406,7 +402,6 @@ def spill(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str,
     schema = T.StructType([*schema.fields, *[T.StructField(c, T.LongType()) for c in ("radix", "run", "base", "n")], T.StructField("blocks", T.ArrayType(T.BinaryType()))])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
         known, runs, n = aligner(a_path, b_path), Runs(block), 0
         part = TaskContext.get().partitionId()
         base = part << 32

@@ -65,29 +65,31 @@ LIKELY = 4
 COLUMNS = 4096
 #: So many rows of ids are sent to every executor (40 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Words whose hash a worker remembers; the memory starts again beyond it.
-CACHE = 200_000
+#: Bytes of words whose hash a task remembers, about; the memory starts again beyond it.
+CACHE_BYTES = 32 << 20
 
 
 class Shingler:
     """Shingle hashes of whole texts."""
 
     def __init__(self, size: int):
-        self.size, self.words = size, {}
+        self.size, self.words, self.held = size, {}, 0
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
         """The distinct shingles' hashes, in order of hash."""
         if len(words) < self.size:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)] if words else [], np.uint64)
         known = self.words
-        if len(known) > CACHE:
+        if self.held > CACHE_BYTES:
             known.clear()
+            self.held = 0
         try:
             ids = np.array([known[w] for w in words], np.uint64)
         except KeyError:
             for w in words:
                 if w not in known:
                     known[w] = xxhash.xxh3_64_intdigest(w)
+                    self.held += 150 + len(w)
             ids = np.array([known[w] for w in words], np.uint64)
         n = len(words) - self.size + 1
         mixed = ids[:n].copy()

@@ -5,11 +5,26 @@ from __future__ import annotations
 import ctypes
 import gc
 
+from collections.abc import Callable
+from typing import Any
+
 import pyarrow as pa
 
+_HELD: dict[tuple, Any] = {}
+
+
+def held(key: tuple, make: Callable[[], Any]) -> Any:
+    """What this worker keeps from task to task under ``key``: one thing at a time, made when first asked for."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
 
-def release_memory() -> None:
-    """Give back what an earlier task of this worker has left free; called at the start of tasks that need much."""
+def release_memory(keep: tuple | None = None) -> None:
+    """Give back what earlier tasks of this worker have left, but for what is held under ``keep``; called at the start of tasks that need much."""
+    for key in [k for k in _HELD if k != keep]:
+        del _HELD[key]
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

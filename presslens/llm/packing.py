@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from presslens.llm.memory import release_memory
+from presslens.llm.memory import held, release_memory
 from presslens.shared import materialise
 
 MAX_LEN = 1024
@@ -40,8 +40,8 @@ END_ID = 0
 RANKED = 250_000
 #: Groups of a length at least, so that copies of one length spread at any size.
 LEAST_GROUPS = 64
-#: Chunks whose ids a worker remembers; the memory starts again beyond it.
-CACHE = 300_000
+#: Bytes of chunks whose ids a worker remembers, about; the memory starts again beyond it.
+CACHE_BYTES = 48 << 20
 PUNCTUATION = ".,;:!?"
 #: Chunks on which both libraries must agree before the faster one fills the memory.
 SAMPLES = (" tokenization", "Straße,", " éèàçü", " 12345.67", "don't", " \u4e2d\u6587\u5b57", " \u0440\u0443\u0441\u0441\u043a\u0438\u0439", "!!!???", " \U0001f600\u200d", "\u0e44\u0e17\u0e22", " unbelievableness", "_x9_", "\u00ad\u0301")
@@ -64,6 +64,7 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.newline = self.whole("\n")
         self.ranks = self._ranks()
+        self.held = 0
         self.first = _Chunks(self, "")
         self.after_space = _Chunks(self, " ")
 
@@ -105,9 +106,10 @@ class Encoder:
                     return self.whole(text)
                 out.append(first[chunks[0]])
                 out.extend(map(after_space.__getitem__, chunks[1:]))
-        if len(first) + len(after_space) > CACHE:
+        if self.held > CACHE_BYTES:
             first.clear()
             after_space.clear()
+            self.held = 0
         return b"".join(out)
 
 
@@ -124,21 +126,17 @@ class _Chunks(dict):
         else:
             ids = self.encoder.chunk(self.before + chunk)
         self[chunk] = ids
+        self.encoder.held += 160 + 2 * len(chunk) + len(ids)
         return ids
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a tokenizer file; what other operators kept goes."""
+    release_memory(("encoder", path))
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, max_len: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    release_memory()
     encode, end, width = encoder(path).encode, np.array([end_id], "<u4").tobytes(), 4 * max_len
     for batch in batches:
         rows, start, length, crc, tokens = [], [], [], [], []

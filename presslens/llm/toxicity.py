@@ -59,8 +59,8 @@ MANY_SHARE = 0.1
 #: Where bounds leave more than this share of the vectors, all are added up in one product.
 FEW = 0.125
 PREFIX = 5
-#: Tokens whose features a task remembers, and texts whose scores.
-TOKENS, TEXTS = 150_000, 20_000
+#: Bytes of tokens whose features a task remembers, about, and texts whose scores (of a fixed size).
+TOKEN_BYTES, TEXTS = 32 << 20, 20_000
 ADDED = ("held_out", "score", "predicted", "evidence")
 
 
@@ -87,13 +87,14 @@ class _Tokens(dict):
 
     def __init__(self, vocabulary: dict[str, int] | None = None):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.held = vocabulary, 0
 
     def __missing__(self, token: bytes) -> tuple:
         names = token_features(token)
         known = names if self.vocabulary is None else tuple(self.vocabulary[n] for n in names if n in self.vocabulary)
-        if len(self) < TOKENS:
+        if self.held < TOKEN_BYTES:
             self[token] = known
+            self.held += 220 + len(token)
         return known
 
     def count(self, text: bytes | None) -> Counter:
