@@ -418,6 +418,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     Rows without words are in no component and stay. Rows are told apart by id and
     words, so of an id's unrelated texts each counts for itself.
     """
+    names = docs.columns
+    docs = docs.toDF(*[f"d{i}" for i in range(len(names))])  # so that no column of the input meets one of the operator
+    id_col, text_col = f"d{names.index(id_col)}", f"d{names.index(text_col)}"
     rows = grouped(docs, id_col, text_col, words, percent).filter("n > 0")
     first = F.col("doc_id").eqNullSafe(F.col("rep")) & F.col("keeper")
     rows = rows.groupBy("doc_id", "node").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("times"))
@@ -427,6 +430,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     kept = named.join(gone, this, "left_anti").drop("t_node")
     repeated = gone.filter("first")
     if repeated.isEmpty():
-        return kept
+        return kept.toDF(*names)
     once = named.join(repeated, this).drop("g_id", "g_node", "first").groupBy("t_node", id_col).agg(*[F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")])
-    return kept.unionByName(once.select("row.*"))
+    return kept.unionByName(once.select("row.*")).toDF(*names)

@@ -70,17 +70,20 @@ def targets(sizes: DataFrame, max_repeat: int = MAX_REPEAT) -> DataFrame:
 def repetition_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """Add to each document its size, its source's size, target and rate, and its number of copies."""
     size = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.regexp_count(F.col(text_col), F.lit(WORD))).cast("long")
-    sized = docs.drop(*ADDED).withColumn("size", size)
-    per_source = targets(sized.groupBy(F.col(source_col).alias("source")).agg(F.sum("size").alias("source_size")), max_repeat)
+    names = [c for c in docs.columns if c not in ADDED]
+    inner = {c: f"d{i}" for i, c in enumerate(names)}  # so that no column of the input meets one of the plan
+    sized = docs.select(*[F.col(f"`{c}`").alias(d) for c, d in inner.items()], size.alias("size"))
+    source = F.col(inner[source_col])
+    per_source = targets(sized.groupBy(source.alias("source")).agg(F.sum("size").alias("source_size")), max_repeat)
     per_source = materialise(per_source, "mix-targets").select(F.col("source").alias("m_source"), F.col("source_size").alias("m_size"), F.col("target").alias("m_target"))
     if per_source.count() <= BROADCAST_SOURCES:
         per_source = F.broadcast(per_source)
-    joined = sized.join(per_source, F.col(source_col).eqNullSafe(F.col("m_source")))
+    joined = sized.join(per_source, source.eqNullSafe(F.col("m_source")))
     rate = F.when(F.col("m_size") > 0, F.col("m_target") / F.col("m_size")).otherwise(F.lit(0.0))
-    names = [c for c in docs.columns if c not in ADDED]
-    planned = joined.select(*names, "size", F.col("m_size").alias("source_size"), F.col("m_target").alias("target"), rate.alias("rate"))
-    extra = (uniform(F.col(id_col), seed) < F.col("rate") - F.floor("rate")).cast("long")
-    return planned.withColumn("copies", F.floor("rate") + extra)
+    planned = joined.select(*inner.values(), "size", F.col("m_size").alias("source_size"), F.col("m_target").alias("target"), rate.alias("rate"))
+    extra = (uniform(F.col(inner[id_col]), seed) < F.col("rate") - F.floor("rate")).cast("long")
+    planned = planned.withColumn("copies", F.floor("rate") + extra)
+    return planned.select(*[F.col(d).alias(c) for c, d in inner.items()], *[c for c in ADDED if c != "copy"])
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

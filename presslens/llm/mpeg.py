@@ -279,7 +279,8 @@ def write_mpeg(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     keep = [c for c in docs.columns if c not in (text_col, "n_bytes", "media")]
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
-    return docs.select(*keep, F.encode(F.col(text_col), "UTF-8").alias("text_bytes")).mapInArrow(write, schema)
+    inner = [F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(keep)]  # rows go by place, so that no names meet
+    return docs.select(*inner, F.encode(F.col(text_col), "UTF-8").alias("text_bytes")).mapInArrow(write, schema)
 
 
 #: Rows that a worker turns into media at a time.

@@ -22,7 +22,8 @@ What happens in special cases:
 * equal rows (also under different ids) are linked copies: each counts the
   others as links;
 * rows that share an id count as separate vectors, their component is that of
-  the id; null ids are returned with their own component null;
+  the id; null ids count as links of others and are returned, kept, with a
+  null component;
 * other columns of the input are not carried; an empty table gives an empty
   result.
 """
@@ -185,5 +186,5 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     )
     keyed = vectors.select(F.col(id_col).alias("vec_id"), F.xxhash64(F.col(label_col).alias("label"), F.col(vector_col).alias("v")).alias("key"), F.col(label_col).isNull().alias("alone"))
     joined = keyed.join(per, (F.col("key") == F.col("class")) & ~F.col("alone"), "left")
-    component = F.coalesce("component_id", "vec_id")
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
