@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from presslens.plans import desk, feed, ingest, judge, polish, state, stories  # noqa: F401  all register their queries
+from presslens.plans import desk, feed, ingest, judge, polish, state, stories, upkeep  # noqa: F401  all register their queries
 
 QUERIES: dict = dict(feed.QUERIES)
 ORACLE_SQL: dict = dict(feed.ORACLE_SQL)
