@@ -81,6 +81,8 @@ NAME = regex.compile(
 #: A name needs one of these words, everything else a digit or an @; other texts are passed over quickly.
 _CAPITAL = re.compile(r"[A-ZÀ-ÞА-Я][^\W\d_]+")
 _DIGIT = re.compile(r"[0-9]")
+#: A date, with or without a time behind it.
+_DATE = re.compile(r"(?:(?:19|20)\d{2}[-./ ](?:0?[1-9]|1[0-2])[-./ ](?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-./ ](?:0?[1-9]|1[0-2])[-./ ](?:19|20)\d{2})(?![\d-])")
 _STARTS = {n for names in GIVEN.values() for n in names} | {t for t in TITLES if t[0].isupper()}
 _LOWER_TITLES = tuple(t for t in TITLES if t[0].islower())
 ENTITY = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("entity", T.StringType()), T.StructField("surrogate", T.StringType())]))
@@ -175,15 +177,37 @@ def _email(text: str, key: str) -> str:
     return _alike(local, f"email|{host}", key) + "@" + _alike(first, "host", key) + dot + rest
 
 
+#: Country codes of two digits; 1 and 7 stand alone, all others have three (fixed values).
+TWO_DIGIT_CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+
+
+def phone_parts(text: str) -> tuple[str, str, str]:
+    """Country code (of numbers that start with a plus), trunk zeros, and the subscriber's digits."""
+    bare = text.replace("(0)", "") if text.startswith("+") else text
+    digits = "".join(c for c in bare if c.isdigit())
+    country = ""
+    if text.startswith("+"):
+        country = digits[: 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3]
+    own = digits[len(country) :]
+    trunk = "" if country else own[: len(own) - len(own.lstrip("0"))]
+    return country, trunk, own[len(trunk) :]
+
+
 def _phone(text: str, key: str) -> str:
-    digits = "".join(c for c in text if c.isdigit())
-    country, own = (digits[:-10], digits[-10:]) if len(digits) > 10 else ("", digits)
+    country, trunk, own = phone_parts(text)
+    if not own:
+        return text
     value = int(own)
     while True:
-        value = permute(value, 10 ** len(own), f"phone|{len(own)}", key)
+        value = permute(value, 10 ** len(own), f"phone|{country}|{trunk}|{len(own)}", key)
         new = str(value).zfill(len(own))
-        if len(own) != 10 or _nanp(new) == _nanp(own):
-            return _refill(text, country + new)
+        if (len(own) != 10 or _nanp(new) == _nanp(own)) and (country or not new.startswith("0")):
+            break
+    head, zero, tail = text.partition("(0)") if country else ("", "", text)
+    if not zero:
+        return _refill(text, country + trunk + new)
+    held = sum(c.isdigit() for c in head)
+    return _refill(head, (country + new)[:held]) + zero + _refill(tail, (country + new)[held:])
 
 
 def _card(text: str, key: str) -> str:
@@ -253,19 +277,30 @@ def surrogate(kind: str, text: str, key: str) -> str:
 
 def identity(kind: str, text: str) -> str:
     """What makes mentions the same entity, or surrogates the same surrogate."""
-    if kind in ("phone", "card", "ssn"):
-        return "".join(c for c in text if c.isdigit())[-10 if kind == "phone" else 0 :]
+    if kind == "phone":
+        country, trunk, own = phone_parts(text)
+        return f"+{country}{own}" if country else trunk + own
+    if kind in ("card", "ssn"):
+        return "".join(c for c in text if c.isdigit())
     if kind == "name":
         return " ".join(p for p in text.split(" ") if p.rstrip(".") not in TITLES)
     return text.lower().replace(" ", "")
 
 
+def _counts(kind: str, said: str) -> bool:
+    """Whether a mark's digits make it one: phones have 10 to 15 and aren't dates, cards have 15 or 16, or a right check digit."""
+    digits = "".join(c for c in said if c.isdigit())
+    if kind == "phone":
+        return 10 <= len(digits) <= 15 and not _DATE.match(said)
+    return kind != "card" or len(digits) in (15, 16) or luhn(digits[:-1]) == int(digits[-1])
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """Kinds and places of entities, in order."""
     found = []
     if "@" in text or _DIGIT.search(text):
         for m in MARKS.finditer(text):
-            if m.lastgroup != "phone" or 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            if _counts(m.lastgroup, m[0]):
                 found.append((m.lastgroup, m.start(), m.end()))
     if not _STARTS.isdisjoint(_CAPITAL.findall(text)) or any(t in text for t in _LOWER_TITLES):
         names = [("name", m.start(), m.end()) for m in NAME.finditer(text)]
