@@ -53,6 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from presslens.llm.memory import rows_at_a_time
 from presslens.shared import materialise
 
 PARTS = 16
@@ -60,6 +61,8 @@ ENTRIES = 64
 ROUNDS = 2
 #: Vectors in a chunk at most, so trees of a task have a bounded size.
 CHUNK = 8192
+#: Chunks, of about 7 MB each, that a worker holds at a time.
+CHUNKS_AT_ONCE = 2
 #: Parts in a leaf at most, unless they are equal.
 LEAF = 24
 #: Labels whose sums are broadcast at most; more are joined by a shuffle.
@@ -372,9 +375,10 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
         start = rows.orderBy(F.col("vec_id").asc_nulls_last(), "v").select("v").limit(entries).collect()
     books = np.array([r["v"] for r in start], np.int64).reshape(len(start), parts, dim // parts).transpose(1, 0, 2).copy()
     chunks = materialise(plant(rows, dim, parts), "ball-trees", compression="zstd")
-    for _ in range(rounds):
-        books = refine(chunks, books)
-    coded = materialise(assign(chunks, books), "ball-codes")
+    with rows_at_a_time(chunks.sparkSession, CHUNKS_AT_ONCE):
+        for _ in range(rounds):
+            books = refine(chunks, books)
+        coded = materialise(assign(chunks, books), "ball-codes")
     return coded.join(_label_errors(coded), F.col("label").eqNullSafe(F.col("e_label"))).drop("e_label"), books
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import ctypes
 import gc
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 _HELD: dict[tuple, Any] = {}
 
@@ -31,3 +33,15 @@ def release_memory(keep: tuple | None = None) -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # only glibc has it
         pass
+
+
+@contextmanager
+def rows_at_a_time(spark: SparkSession, n: int) -> Iterator[None]:
+    """Jobs that run inside hand Python at most ``n`` rows at a time: for rows of megabytes each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
