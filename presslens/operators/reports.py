@@ -34,11 +34,17 @@ def elimination_candidates(scorecard: DataFrame) -> DataFrame:
 
 
 def _start_repeated(size: int) -> Column:
-    return F.startswith(F.lower(F.trim(F.coalesce("summary", F.lit("")))), F.lower(F.substring(F.trim("title"), 1, size)))
+    return F.startswith(F.lower(F.substring(F.trim(F.coalesce("summary", F.lit(""))), 1, 5 * size)), F.lower(F.substring(F.trim("title"), 1, size)))
 
 
 def _last_word(body: Column) -> Column:
-    return F.element_at(F.concat(F.array(F.lit("")), X.tokens(F.lower(body))), -1)
+    """The last word in lower case, else empty: read at the text's end, unless it is very long."""
+
+    def last(text: Column) -> Column:
+        near = F.substring_index(F.translate(F.right(text, F.lit(256)), "\t\r\n", "   "), " ", -1)
+        return F.when(F.length(near) < 256, near).otherwise(F.element_at(F.concat(F.array(F.lit("")), X.tokens(text)), -1))
+
+    return F.lower(X.bound(F.rtrim(body, F.lit(" \t\r\n")), last))
 
 
 def _totals(counted: DataFrame, name: str, *keys: str) -> DataFrame:
@@ -73,27 +79,33 @@ def audit_kinds(items: DataFrame) -> DataFrame:
     return marked.select("idx", "pool", F.explode(kinds).alias("kind"))
 
 
-def quality_problems(items: DataFrame) -> DataFrame:
-    """``idx, pool, problem``: a row for each problem of each published item."""
-    body, low = F.trim(F.coalesce("summary", F.lit(""))), F.lower(F.trim(F.coalesce("summary", F.lit(""))))
-    hanging = (F.length(body) > 0) & (body.rlike("[,—–:;]$") | _last_word(body).isin(*W.QUALITY_HANGING))
-    foreign = F.when(F.col("pool") == "ru", (F.length(body) > 0) & (X.count(low, "[а-яё]") == 0)).otherwise(X.count(low, "[а-яё]") > 10)
-    problems = F.array_compact(
+def quality_marks(items: DataFrame) -> DataFrame:
+    """``idx``, what routing reads, and of each item the problems that it has in any pool (``marks``), whether its text is ``empty`` and how many Cyrillic letters it holds."""
+    body = F.trim(F.coalesce("summary", F.lit("")))
+    hanging = (F.length(body) > 0) & (X.ends_with(body, "[,—–:;]") | _last_word(body).isin(*W.QUALITY_HANGING))
+    marks = F.array_compact(
         F.array(
             F.when(F.length(F.coalesce("imageUrl", F.lit(""))) == 0, "no photo"),
             F.when(F.length(body) < 120, "short text"),
-            F.when(X.any_of(low, W.QUALITY_JUNK), "service line"),
+            F.when(X.any_of(F.lower(body), W.QUALITY_JUNK), "service line"),
             F.when(hanging, "hanging end"),
-            F.when(foreign, "foreign script"),
             F.when((F.length("title") > 0) & _start_repeated(40), "title at start"),
             F.when((F.col("category") == "URGENT") & (F.col("priority") < 2), "urgent without priority"),
         )
     )
-    return items.select("idx", "pool", F.explode(problems).alias("problem"))
+    route = [c for c in ("pool", "scope", "source_lang", "language") if c in items.columns]
+    return items.select("idx", *route, marks.alias("marks"), (F.length(body) == 0).alias("empty"), X.count(F.lower(body), "[а-яё]").alias("cyrillic"))
+
+
+def quality_problems(marked: DataFrame) -> DataFrame:
+    """``idx, pool, problem``: a row for each problem of each published item, from its marks and its pool."""
+    foreign = F.when(F.col("pool") == "ru", ~F.col("empty") & (F.col("cyrillic") == 0)).otherwise(F.col("cyrillic") > 10)
+    problems = F.concat("marks", F.when(foreign, F.array(F.lit("foreign script"))).otherwise(F.array().cast("array<string>")))
+    return marked.select("idx", "pool", F.explode(problems).alias("problem"))
 
 
-def quality_summary(items: DataFrame) -> DataFrame:
-    found = quality_problems(items)
+def quality_summary(marked: DataFrame) -> DataFrame:
+    found = quality_problems(marked)
     return found.groupBy("pool", "problem").agg(F.count(F.lit(1)).alias("n"))
 
 
