@@ -43,9 +43,15 @@ def drop_inner_title(title: Column, body: Column) -> Column:
         rest = F.concat(F.slice(words, F.lit(1), at - 1), F.slice(words, at + n, F.size(words)))
         return F.when((n > 0) & at.isNotNull(), F.array_join(rest, " ")).otherwise(body)
 
+    def worth(wanted: Column) -> Column:
+        # Without spaces and marks, a body that has the words in a row has them as one string.
+        plain = lambda t: F.translate(F.lower(F.regexp_replace(t, r"[^\p{L}\p{N}_]+", "")), "ς", "σ")
+        return F.contains(plain(F.coalesce(body, F.lit(""))), F.translate(F.array_join(wanted, ""), "ς", "σ"))
+
     words = split(body)
     parts = F.struct(F.filter(F.transform(split(title), bare), lambda w: w != "").alias("wanted"), words.alias("words"), F.transform(words, bare).alias("plain"))
-    return F.when(F.size(split(title)) >= 4, X.bound(parts, cut)).otherwise(body)
+    wanted = F.filter(F.transform(split(title), bare), lambda w: w != "")
+    return F.when((F.size(split(title)) >= 4) & X.bound(wanted, worth), X.bound(parts, cut)).otherwise(body)
 
 
 def stub(body: Column) -> Column:
