@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from presslens.shared import materialise
 
+#: A round's tasks take about so many links each, and there are at least so many of them unless the session has fewer.
+LINKS_A_TASK, LEAST_TASKS = 100_000, 12
+
 
 class Forest:
     """Components of 0 .. n - 1 within one task, for a bounded block."""
@@ -39,19 +42,26 @@ def spanning_forest(pairs: Iterable[tuple[int, int]], n: int) -> list[tuple[int,
     return forest.stars()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _in_tasks(table: DataFrame, links: int) -> DataFrame:
+    """``table`` in as many tasks as ``links`` ask for, where the session's partitions are more: the driver keeps a record of every task."""
+    tasks = max(LEAST_TASKS, -(-links // LINKS_A_TASK))
+    return table.coalesce(tasks) if tasks < int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")) else table
+
+
+def _large_star(edges: DataFrame, links: int) -> DataFrame:
     """Each node's larger neighbours go to the smallest node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return _in_tasks(both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")), links)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, links: int) -> DataFrame:
     """Each node and its smaller neighbours go to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u").filter("v > m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+    stars = _in_tasks(moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))), links)
+    return _in_tasks(stars.distinct(), links)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -68,5 +78,5 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before or mark["n"] == 0:
             break
         before = mark
-        now = materialise(_small_star(_large_star(now)), "links")
+        now = materialise(_small_star(_large_star(now, mark["n"]), mark["n"]), "links")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
